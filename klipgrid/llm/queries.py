@@ -10,12 +10,17 @@ from ..sources import table
 from ..session import cut
 from .caps import cap_contributors
 from .cutoffs import fraction_cutoffs
+from .language import detect_passages, label_cases
+from .packing import pack
+from .plainform import add_plain_forms, vocabulary, word_forms
 from .repetition import flag_repetitive
 from .splits import related_pairs, related_splits
+from .tokens import count_tokens, encode_corpus
 
 SPLIT_PERMILLE = {"train": 800, "valid": 100, "test": 100}
 CHANNEL_PERMILLE = 30  # of the clips that take part, for one channel
 CAP_BATCHES = 3
+CONTAINER = 2048  # tokens
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -61,7 +66,52 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return cap_contributors(clips, "channel", order, cap, batch, CAP_BATCHES).log().select("video_id", "chunk").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_split": p3_split, "p6_found": p6_found}
+def _words(spark: SparkSession, d: str) -> DataFrame:
+    chunks = table(spark, d, "align").select("video_id", F.posexplode("chunks").alias("chunk_no", "c"))
+    words = chunks.select("video_id", "chunk_no", F.posexplode("c.words").alias("word_no", "w"))
+    return words.select("video_id", "chunk_no", "word_no", F.col("w.word").alias("word"), F.col("w.label").alias("label"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Word entries whose word or label is not in plain form."""
+    out = add_plain_forms(_words(spark, d), word_forms(vocabulary(table(spark, d, "vocab"))))
+    odd = (F.col("word") != F.col("word_plain")) | (F.col("label") != F.col("label_plain"))
+    return out.where(odd).select("video_id", "chunk_no", "word_no").distinct()
+
+
+def p7_plain(spark: SparkSession, d: str) -> DataFrame:
+    """Plain form of every different spelling, and how often it occurs."""
+    forms = _words(spark, d).groupBy("word", "label").agg(F.count(F.lit(1)).alias("n"))
+    return add_plain_forms(forms, word_forms(vocabulary(table(spark, d, "vocab"))))
+
+
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode_corpus(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p9_pack(spark: SparkSession, d: str) -> DataFrame:
+    """Container and token range of every document or piece."""
+    sizes = count_tokens(table(spark, d, "documents"), "doc_id", "text")
+    out = pack(sizes, "doc_id", "n_tokens", CONTAINER)
+    return out.select("doc_id", "piece", F.col("first").alias("token_start"), F.col("last").alias("token_end"), "container")
+
+
+def _passages(spark: SparkSession, d: str) -> DataFrame:
+    return detect_passages(table(spark, d, "documents"), "doc_id", "text", "lang", "source", table(spark, d, "lang_samples"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of documents whose label is missing, wrong or not enough."""
+    return label_cases(_passages(spark, d), "doc_id", table(spark, d, "lang_codes"))
+
+
+def p10_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Every passage with its language and confidence."""
+    return _passages(spark, d).select("doc_id", "lang", F.round("confidence", 6).alias("confidence"), F.col("first").alias("first_word"), F.col("n").alias("n_words"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_split, p6_found, p7_found, p7_plain, p8_ids, p9_pack, p10_found, p10_passages)}
 
 SQL = {
     "p1_found": """
