@@ -12,6 +12,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,7 @@ DEFAULTS = {
 }
 
 _own: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "klipgrid", cores: int | str = "*", **conf: object) -> SparkSession:
@@ -53,6 +56,21 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own[app]
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="klipgrid-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/klipgrid.zip", "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"klipgrid/{p.relative_to(root)}")
+    spark.sparkContext.addPyFile(f"{folder}/klipgrid.zip")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` as a written table in the shared folder; its lineage ends there."""
     spark = df.sparkSession
