@@ -118,10 +118,11 @@ def _edges(key: str, chunk: int, overlap: int):  # noqa: ANN202
             for k, n, t in zip(b.column("k").to_pylist(), b.column("n").to_pylist(), b.column("text").to_pylist(), strict=True):
                 at = boundaries(t)
                 base = k * chunk
-                # the last two may depend on characters beyond the chunk
-                sure = at[:-2] if k < n - 1 else at
+                # unless the text ends here, the last two may depend on characters beyond the chunk
+                sure = at[:-2] if len(t) == chunk + overlap else at
                 heads.append([base] + [base + x for x in at if x < overlap] if k else [])
-                tails.append([base + x for x in sure if x >= chunk] if k < n - 1 else [])
+                # white space before a stitch would look like the end of the text, which the pattern minds
+                tails.append([base + x for x in sure if x >= chunk and not t[x - 1].isspace()] if k < n - 1 else [])
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(heads, lists), pa.array(tails, lists)], names=[key, "k", "n", "text", "head", "tail"])
 
