@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.identity import distinct_rows
 from ..operators.ranking import row_at_weight
+from ..session import cut
 
 
 def fraction_cutoffs(df: DataFrame, source: str, score: str, targets: DataFrame, permille: str) -> DataFrame:
@@ -25,7 +26,7 @@ def fraction_cutoffs(df: DataFrame, source: str, score: str, targets: DataFrame,
     source the largest counts.
     """
     df = df.where(F.col(source).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
-    hist = distinct_rows(df, source, score).groupBy(source, score).agg(F.count(F.lit(1)).alias("_n"))
+    hist = cut(distinct_rows(df, source, score).groupBy(source, score).agg(F.count(F.lit(1)).alias("_n")))
     goal = targets.groupBy(source).agg(F.max(permille).alias("_permille"))
     total = hist.groupBy(source).agg(F.sum("_n").alias("n"))
     need = F.expr("(n * _permille + 999) div 1000")
