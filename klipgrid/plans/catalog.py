@@ -1,2 +1,10 @@
-QUERIES = {}
-SQL = {}
+"""All queries of the corpus operators, with their SQL."""
+
+from __future__ import annotations
+
+from . import clips, faces, ingest, reports, transcripts
+
+_PARTS = (ingest, transcripts, faces, clips, reports)
+QUERIES = {k: f for m in _PARTS for k, f in m.QUERIES.items()}
+SQL = {k: q for m in _PARTS for k, q in m.SQL.items()}
+clip_funnel = faces.clip_funnel
