@@ -16,12 +16,15 @@ PERMANENT = (
 )
 
 
-@F.pandas_udf(StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    """Unicode NFC; Spark has no such function, so one Arrow batch at a time."""
+def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
 
+#: Unicode NFC; Spark has no such function, so one Arrow batch at a time.  Declared
+#: nondeterministic only so that a filter on its result doesn't run it twice.
+nfc = F.pandas_udf(_nfc, StringType()).asNondeterministic()
+
+
 def bn_normalize(c: Column, is_nfc: bool = False) -> Column:
     """Label form: NFC, then no zero-width characters, then the Bengali block only.
 

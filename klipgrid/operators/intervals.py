@@ -128,7 +128,7 @@ def interval_states(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     rows = df.where(F.col(key).isNotNull() & (F.col(end) >= F.col(start))).select(
         F.col(key).cast("string"), F.col(start).cast("long"), F.col(end).cast("long")
     )
-    width = rows.rdd.getNumPartitions()  # map tasks, hence states a (key, block) can have
+    width = max(1, rows.rdd.getNumPartitions())  # map tasks, hence states a (key, block) can have
     states = rows.mapInArrow(_partial, _STATE)
     while True:
         width = -(-width // FAN)

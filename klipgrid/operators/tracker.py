@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame

@@ -13,7 +13,7 @@ from ..functions import geometry as Y
 from ..functions import timeline as L
 from ..operators.series import filled_gaps, shot_distances
 from ..sources import table
-from .transcripts import USABLE, WORDS, usable, words
+from .transcripts import USABLE, WORDS, usable_words
 
 
 def _micro(c: Column) -> Column:
@@ -21,14 +21,14 @@ def _micro(c: Column) -> Column:
 
 
 def frame_grid(spark: SparkSession, d: str) -> DataFrame:
-    w = words(spark, d).where(usable())
+    w = usable_words(spark, d)
     i0 = L.word_window(F.col("s"), F.col("e"))
     a, b = L.word_frames(F.col("s"), F.col("e"), i0)
     return w.select("video_id", "chunk", "idx", "word", "s", i0.alias("i0"), a.alias("start_frame"), b.alias("end_frame"))
 
 
 def word_clip_rows(spark: SparkSession, d: str) -> DataFrame:
-    g = words(spark, d).where(usable()).withColumn("i0", L.word_window(F.col("s"), F.col("e"))).where("i0 >= 0")
+    g = usable_words(spark, d).withColumn("i0", L.word_window(F.col("s"), F.col("e"))).where("i0 >= 0")
     a, b = L.word_frames(F.col("s"), F.col("e"), F.col("i0"))
     return g.select(
         F.col("label").alias("word"), F.col("word").alias("surface"), "video_id", F.lit(25).alias("fps"), F.lit(29).alias("n_frames"), F.lit(256).alias("size"),

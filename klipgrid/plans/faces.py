@@ -15,8 +15,9 @@ from ..operators import gate as G
 from ..operators.series import cut_segments, speech_frames
 from ..operators.tracker import track_boxes
 from ..params import Gate
+from ..session import cut
 from ..sources import table
-from .transcripts import USABLE, WORDS, usable, words
+from .transcripts import USABLE, WORDS, usable_words
 
 #: Chosen so that every reason occurs on the derived detections.
 GATE = Gate(max_change=0.95, max_missing=27, min_other=2, min_face=1300.0, max_yaw=150.0, max_pitch=40.0)
@@ -39,7 +40,7 @@ def frames(spark: SparkSession, d: str) -> DataFrame:
 def candidates(spark: SparkSession, d: str) -> DataFrame:
     """Windows of usable words of videos with faces."""
     n = table(spark, d, "word_clip").where("frame_end is not null").groupBy("video_id").agg((F.max("frame_end") + 1).alias("n_frames"))
-    w = words(spark, d).where(usable()).join(n, "video_id")
+    w = usable_words(spark, d).join(n, "video_id")
     return w.select("video_id", "chunk", "idx", "label", word_window(F.col("s"), F.col("e")).alias("i0"), "n_frames").distinct().withColumn("i1", F.col("i0") + 29).select("video_id", "chunk", "idx", "label", "i0", "i1", "n_frames")
 
 
@@ -68,6 +69,11 @@ _CAP = f"""rs AS (SELECT *, {_REASON} AS face FROM met),
             UNION ALL SELECT video_id, chunk, idx, label, i0, 'video_edge' FROM cand WHERE i0 < 0 OR i1 > n_frames)"""
 
 
+def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Windows, detections and frames as written tables: each is read more than once."""
+    return cut(candidates(spark, d)), cut(detections(spark, d)), cut(frames(spark, d))
+
+
 def track_spans(spark: SparkSession, d: str) -> DataFrame:
     return G.track_spans(detections(spark, d))
 
@@ -77,8 +83,8 @@ def face_frames(spark: SparkSession, d: str) -> DataFrame:
 
 
 def window_metrics(spark: SparkSession, d: str) -> DataFrame:
-    c = candidates(spark, d).where("i0 >= 0 and i1 <= n_frames")
-    m = G.window_metrics(c, ["chunk", "idx", "label"], detections(spark, d), frames(spark, d), GATE, CUT)
+    c, det, fr = _stored(spark, d)
+    m = G.window_metrics(c.where("i0 >= 0 and i1 <= n_frames"), ["chunk", "idx", "label"], det, fr, GATE, CUT)
     return m.select("video_id", "chunk", "idx", "label", "i0", "track", "missing", "others", "width_min", "width_median", "yaw", "pitch", "change", "has_cut", "first", "last")
 
 
@@ -87,13 +93,13 @@ def main_track(spark: SparkSession, d: str) -> DataFrame:
 
 
 def face_gate(spark: SparkSession, d: str) -> DataFrame:
-    c = candidates(spark, d).where("i0 >= 0 and i1 <= n_frames")
-    m = G.window_metrics(c, ["chunk", "idx", "label"], detections(spark, d), frames(spark, d), GATE, CUT)
+    c, det, fr = _stored(spark, d)
+    m = G.window_metrics(c.where("i0 >= 0 and i1 <= n_frames"), ["chunk", "idx", "label"], det, fr, GATE, CUT)
     return m.select("video_id", "chunk", "idx", "label", "i0", G.face_reason(GATE).alias("reason"))
 
 
 def per_video_cap(spark: SparkSession, d: str) -> DataFrame:
-    out = G.word_reasons(candidates(spark, d), detections(spark, d), frames(spark, d), GATE, CUT)
+    out = G.word_reasons(*_stored(spark, d), GATE, CUT)
     return out.select("video_id", "chunk", "idx", "label", "i0", "reason")
 
 

@@ -10,7 +10,7 @@ from ..functions.geometry import scale_720
 from ..operators.series import speech_frames
 from ..sources import table
 from .faces import _DET, CUT, detections, frames
-from .transcripts import USABLE, WORDS, usable, words
+from .transcripts import USABLE, WORDS, usable_words
 
 
 
@@ -80,14 +80,14 @@ def disjoint_split(spark: SparkSession, d: str) -> DataFrame:
 
 def source_caps(spark: SparkSession, d: str) -> DataFrame:
     """At most 20 words of each video, best aligned first."""
-    w = words(spark, d).where(usable())
+    w = usable_words(spark, d)
     n = F.row_number().over(Window.partitionBy("video_id").orderBy(F.desc("score"), "chunk", "idx", "s", "word"))
     return w.withColumn("nth", n.cast("long")).where("nth <= 20").select("video_id", "chunk", "idx", "word", "s", "nth")
 
 
 def verify_sample(spark: SparkSession, d: str) -> DataFrame:
     """Two clips of each word for a listener, in order of id."""
-    w = words(spark, d).where(usable())
+    w = usable_words(spark, d)
     n = F.row_number().over(Window.partitionBy("label").orderBy("video_id", "chunk", "idx", "s", "word"))
     return w.withColumn("nth", n.cast("long")).where("nth <= 2").select("label", "video_id", "chunk", "idx", "s", "nth")
 

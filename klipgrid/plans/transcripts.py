@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -13,17 +13,21 @@ from ..sources import table
 from ..sources.text_files import parse_vtt, vocabulary_words
 
 
-def words(spark: SparkSession, d: str) -> DataFrame:
-    """Flat words of all alignments, repeated deliveries once, with their label form."""
+def _flat_words(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "align").select("video_id", F.posexplode("chunks").alias("chunk", "c"))
     w = c.select("video_id", "chunk", F.col("c.source").alias("source"), F.posexplode("c.words").alias("idx", "w"))
-    flat = w.select("video_id", "chunk", "idx", "source", F.col("w.word").alias("word"), F.col("w.start").alias("s"), F.col("w.end").alias("e"), F.col("w.score").alias("score")).distinct()
-    return flat.withColumn("label", X.bn_normalize(F.col("word")))
+    return w.select("video_id", "chunk", "idx", "source", F.col("w.word").alias("word"), F.col("w.start").alias("s"), F.col("w.end").alias("e"), F.col("w.score").alias("score"))
+
+
+def words(spark: SparkSession, d: str) -> DataFrame:
+    """Flat words of all alignments, repeated deliveries once, with their label form."""
+    return _flat_words(spark, d).distinct().withColumn("label", X.bn_normalize(F.col("word")))
 
 
-def usable(p: Words = Words()) -> Column:
-    """The word filter; code points count."""
-    return (F.length("label") >= p.min_chars) & (F.col("e") - F.col("s")).between(p.min_duration, p.max_duration) & (F.col("score") >= p.min_score)
+def usable_words(spark: SparkSession, d: str, p: Words = Words()) -> DataFrame:
+    """Words that pass the filter: time and score first, so the label form is made for the rest only."""
+    w = _flat_words(spark, d).where((F.col("e") - F.col("s")).between(p.min_duration, p.max_duration) & (F.col("score") >= p.min_score))
+    return w.distinct().withColumn("label", X.bn_normalize(F.col("word"))).where(F.length("label") >= p.min_chars)
 
 
 WORDS = r"""w0 AS (SELECT video_id, unnest(chunks) AS c, generate_subscripts(chunks, 1) - 1 AS chunk FROM align),
@@ -34,19 +38,19 @@ USABLE = "length(label) >= 2 AND e - s BETWEEN 0.12::DOUBLE AND 1.0::DOUBLE AND
 
 
 def word_counts(spark: SparkSession, d: str) -> DataFrame:
-    w = words(spark, d).where(usable())
+    w = usable_words(spark, d)
     first = F.min(F.struct("video_id", "chunk", "idx"))
     out = w.groupBy(F.col("label").alias("word")).agg(F.count(F.lit(1)).alias("count"), F.countDistinct("video_id").alias("n_videos"), first.alias("first"))
     return out.orderBy(F.desc("count"), "first").select("word", "count", "n_videos")
 
 
 def word_totals(spark: SparkSession, d: str) -> DataFrame:
-    return words(spark, d).where(usable()).agg(F.count(F.lit(1)).alias("tokens"), F.countDistinct("label").alias("types"))
+    return usable_words(spark, d).agg(F.count(F.lit(1)).alias("tokens"), F.countDistinct("label").alias("types"))
 
 
 def top_words(spark: SparkSession, d: str) -> DataFrame:
     """The 40 most frequent words: the number shown by the statistics command."""
-    w = words(spark, d).where(usable()).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    w = usable_words(spark, d).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     return w.orderBy(F.desc("n"), "label").limit(40)
 
 
@@ -120,7 +124,7 @@ def vocab_filter(spark: SparkSession, d: str) -> DataFrame:
 
 def vocab_select(spark: SparkSession, d: str) -> DataFrame:
     """Words fit for a closed vocabulary: median length, spelling length, speakers; the 500 commonest."""
-    w = words(spark, d).where(usable()).withColumn("ms", F.floor((F.col("e") - F.col("s")) * 1000 + 0.5))
+    w = usable_words(spark, d).withColumn("ms", F.floor((F.col("e") - F.col("s")) * 1000 + 0.5))
     g = w.groupBy("label").agg(F.percentile("ms", F.lit(0.5)).alias("ms"), F.countDistinct("video_id").alias("n_videos"), F.count(F.lit(1)).alias("n"))
     ok = F.col("ms").between(150, 900) & (F.length("label") >= 3) & (F.col("n_videos") >= 5)
     return g.where(ok).orderBy(F.desc("n"), "label").limit(500).select("label", "n", "n_videos", (F.col("ms") * 2).cast("long").alias("double_ms"))

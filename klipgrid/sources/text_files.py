@@ -10,7 +10,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..functions.text import clock_seconds, is_language, strip_tags
 
@@ -21,7 +20,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hits is not None and len(hits) > 0
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines; blank lines are skipped, a missing file is an empty table."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
@@ -107,7 +106,7 @@ def read_wave(spark: SparkSession, path: str, rate: int = 16_000) -> DataFrame:
                             raise ValueError(f"not {rate} Hz mono 16-bit")
                         rows.append((name, (np.frombuffer(w.readframes(w.getnframes()), "<i2") / 32768).astype(np.float32), None))
                 except Exception as e:  # one bad file is a row, not a failed job
-                    rows.append((name, None, str(e)))
+                    rows.append((name, None, repr(e)))
             yield pd.DataFrame(rows, columns=["path", "samples", "error"])
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
