@@ -27,63 +27,75 @@ class CapState:
 
     def __init__(self, contributor: str, order: list[tuple[str, bool]], cap: int) -> None:
         self.contributor, self.order, self.cap = contributor, order, cap
-        self.kept: DataFrame | None = None
-        self.cutoffs: DataFrame | None = None
-        self.displaced: list[DataFrame] = []
-
-    def _rank_columns(self, df: DataFrame) -> list[Column]:
+        self._keys = [f"_o{i}" for i in range(len(order))]
+        self._kept: DataFrame | None = None
+        self._cutoffs: DataFrame | None = None
+        self._displaced: list[DataFrame] = []
+
+    def _own(self, df: DataFrame) -> DataFrame:
+        """``df`` as _who, _o0.. and _rec, which holds its columns whatever their names."""
+        rec = df.select(F.struct("*").alias("_rec"))
+        order = [F.col("_rec").getField(n).alias(k) for k, (n, _) in zip(self._keys, self.order, strict=True)]
+        return rec.select(F.col("_rec").getField(self.contributor).alias("_who"), *order, "_rec").where("_who is not null")
+
+    def _rank_columns(self) -> list[Column]:
         out = []
-        for name, desc in self.order:
-            out += [F.col(name).isNull().cast("int"), F.col(name).desc() if desc else F.col(name).asc()]
+        for k, (_, desc) in zip(self._keys, self.order, strict=True):
+            out += [F.col(k).isNull().cast("int"), F.col(k).desc() if desc else F.col(k).asc()]
         return out
 
-    def _beyond(self, prefix: str) -> Column:
-        """Whether a record ranks behind the cutoff whose columns have ``prefix``."""
+    def _against(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_beyond``: whether a record ranks behind its contributor's cutoff."""
+        marks = self._cutoffs.select(F.col("_who").alias("_full"), *[F.col(k).alias(f"_at{k}") for k in self._keys])
         tied, behind = F.lit(True), F.lit(False)
-        for name, desc in self.order:
-            a, b = F.col(name), F.col(f"{prefix}{name}")
-            worse = (a < b) if desc else (a > b)
-            worse = F.coalesce(worse, a.isNull() & b.isNotNull())
+        for k, (_, desc) in zip(self._keys, self.order, strict=True):
+            a, b = F.col(k), F.col(f"_at{k}")
+            worse = F.coalesce((a < b) if desc else (a > b), a.isNull() & b.isNotNull())
             behind, tied = behind | (tied & worse), tied & a.eqNullSafe(b)
-        return behind
-
-    def _against(self, df: DataFrame, cutoffs: DataFrame) -> DataFrame:
-        names = [self.contributor, *[n for n, _ in self.order]]
-        marks = cutoffs.select(*[F.col(n).alias(f"_cut_{n}") for n in names])
-        both = df.join(marks, F.col(self.contributor) == F.col(f"_cut_{self.contributor}"), "left")
-        beyond = F.col(f"_cut_{self.contributor}").isNotNull() & self._beyond("_cut_")
-        return both.withColumn("_beyond", beyond).drop(*[f"_cut_{n}" for n in names])
+        both = df.join(marks, F.col("_who") == F.col("_full"), "left")
+        return both.select(*df.columns, (F.col("_full").isNotNull() & behind).alias("_beyond"))
 
     def add(self, batch: DataFrame) -> None:
-        """Merge a batch into the state."""
-        pool = batch
-        if self.kept is not None:
-            tested = cut(self._against(batch, self.cutoffs))
-            self.displaced.append(tested.where("_beyond").drop("_beyond"))
-            pool = self.kept.unionByName(tested.where(~F.col("_beyond")).drop("_beyond"))
+        """Merge a batch into the state; records without a contributor take no part."""
+        pool = self._own(batch)
+        if self._kept is not None:
+            tested = cut(self._against(pool))
+            self._displaced.append(tested.where("_beyond").select("_rec"))
+            pool = self._kept.unionByName(tested.where(~F.col("_beyond")).drop("_beyond"))
         pool = cut(pool)
-        sizes = pool.groupBy(self.contributor).agg(F.count(F.lit(1)).alias("_size"))
+        sizes = pool.groupBy("_who").agg(F.count(F.lit(1)).alias("_size"))
         full = sizes.where(F.col("_size") >= self.cap).withColumn("_cap", F.lit(self.cap).cast("long"))
-        names = [n for n, _ in self.order]
-        keys = pool.select(self.contributor, *names, F.lit(1).cast("long").alias("_one"))
-        self.cutoffs = cut(row_at_weight(keys, [self.contributor], self._rank_columns(keys), "_one", full, "_cap").select(self.contributor, *names))
-        merged = cut(self._against(pool, self.cutoffs))
-        self.displaced.append(merged.where("_beyond").drop("_beyond"))
-        self.kept = merged.where(~F.col("_beyond")).drop("_beyond")
+        keys = pool.select("_who", *self._keys, F.lit(1).cast("long").alias("_one"))
+        self._cutoffs = cut(row_at_weight(keys, ["_who"], self._rank_columns(), "_one", full, "_cap").select("_who", *self._keys))
+        merged = cut(self._against(pool))
+        self._displaced.append(merged.where("_beyond").select("_rec"))
+        self._kept = merged.where(~F.col("_beyond")).drop("_beyond")
+
+    @property
+    def kept(self) -> DataFrame:
+        """Records kept so far."""
+        return self._kept.select("_rec.*")
+
+    @property
+    def cutoffs(self) -> DataFrame:
+        """The last kept record's order columns of each full contributor."""
+        return self._cutoffs.select(F.col("_who").alias(self.contributor), *[F.col(k).alias(n) for k, (n, _) in zip(self._keys, self.order, strict=True)])
 
     def log(self) -> DataFrame:
         """All records displaced so far."""
-        return reduce(DataFrame.unionByName, self.displaced)
+        return reduce(DataFrame.unionByName, self._displaced).select("_rec.*")
 
 
 def cap_contributors(records: DataFrame, contributor: str, order: list[tuple[str, bool]], cap: int, batch: Column, batches: int) -> CapState:
     """State after all records with a contributor, taken in ``batches`` batches.
 
     ``batch`` is a number from 0 to ``batches - 1`` for each record.  The result
-    does not depend on it.  Records with a null contributor take no part.
+    does not depend on it: identical records that tie at the cutoff are kept
+    together.  Records with a null contributor take no part.  An empty table gives
+    an empty state.
     """
     state = CapState(contributor, order, cap)
-    records = cut(records.where(F.col(contributor).isNotNull()).withColumn("_batch", batch))
+    records = cut(records)
     for i in range(batches):
-        state.add(records.where(F.col("_batch") == i).drop("_batch"))
+        state.add(records.where(batch == i))
     return state

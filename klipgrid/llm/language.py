@@ -305,12 +305,16 @@ def detect_passages(df: DataFrame, key: str, text: str, label: str, host: str, s
     ``first`` and ``n`` count words; a passage has at least ``passage`` words of one
     language, in whatever script.  Null, empty and wordless texts give no row.
     ``confidence`` is the posterior of the language.  ``samples`` are labelled
-    sentences, at most ``MAX_SAMPLES`` of which (by hash) fit the word model.
+    sentences, at most ``MAX_SAMPLES`` of which (by hash) fit the word model; without
+    any there are no languages and no rows.  An empty table gives no rows.
     """
     rows = samples.where(F.col(lang).isNotNull() & F.col(sample).isNotNull()).select(lang, sample)
     fit = [(r[0], r[1]) for r in rows.orderBy(F.xxhash64(lang, sample), lang, sample).limit(MAX_SAMPLES).collect()]
     model = WordModel(fit)
     langs = model.langs
+    if not langs:
+        kinds = f"{key} {dict(df.dtypes)[key]}, label string, lang string, confidence double, first int, n int"
+        return df.sparkSession.createDataFrame([], kinds)
     read = cut(_read_texts(df, model, key, text, label, host))
     prior, evidence = fused_priors(read, langs)
     read = read.where("guess is not null").withColumnsRenamed({"host": "_h", "label": "_l"})

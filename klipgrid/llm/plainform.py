@@ -149,7 +149,8 @@ class PlainForms:
                 text = text.replace(seq, plain)
             chars = list(text)
             for i in range(1, len(chars) - 1):
-                if chars[i] in ":꞉ː" and _script(chars[i - 1]) == _script(chars[i + 1]) == "BENGALI":
+                # between letters or signs it is a visarga, between digits a colon
+                if chars[i] in ":꞉ː" and all(_script(c) == "BENGALI" and unicodedata.category(c)[0] in "LM" for c in (chars[i - 1], chars[i + 1])):
                     chars[i] = "ঃ"
             text = "".join(MARKS.get(c, c) for c in chars)
         return unicodedata.normalize("NFC", text.replace(_JOINER, ""))
@@ -183,8 +184,10 @@ def vocabulary(df: DataFrame, line: str = "line", most: int = MAX_VOCABULARY) ->
 def add_plain_forms(df: DataFrame, forms: dict[str, PlainForms]) -> DataFrame:
     """``df`` with a column ``<name>_plain`` for each string column in ``forms``.
 
-    Each different string of an Arrow batch is looked up once.
+    Each different string of an Arrow batch is looked up once.  A column of that
+    name in ``df`` is replaced; null stays null.
     """
+    df = df.drop(*[f"{c}_plain" for c in forms])
     schema = T.StructType([*df.schema.fields, *[T.StructField(f"{c}_plain", T.StringType()) for c in forms]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
