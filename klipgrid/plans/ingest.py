@@ -85,6 +85,11 @@ def resume_any_ok(spark: SparkSession, d: str) -> DataFrame:
     return I.pending(_known(spark, d), table(spark, d, "download_log"), "id")
 
 
+def work_list(spark: SparkSession, d: str) -> DataFrame:
+    """The first 20 tagged videos that still have to be fetched: the limit is the command's own."""
+    return resume_any_ok(spark, d).where("tag is not null").orderBy("id", "tag").limit(20)
+
+
 def resume_latest(spark: SparkSession, d: str) -> DataFrame:
     return I.pending_by_latest(_known(spark, d), table(spark, d, "download_log"), "id", "seq")
 
@@ -174,7 +179,7 @@ def content_fingerprint(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        links_parse, manifest_eligible, ingest_counters, screen_eligible, listing_flatten, status_classify, resume_any_ok, resume_latest, latest_status,
+        links_parse, manifest_eligible, ingest_counters, screen_eligible, listing_flatten, status_classify, resume_any_ok, work_list, resume_latest, latest_status,
         resume_missing_output, semi_ready, ready_ids, difference_ids, left_metrics_plan, rate_window, backoff_sequence, section_bounds, section_states,
         planned_picks, newest_per_link, subtitle_pick, vocabulary, record_templates, content_fingerprint,
     )
@@ -211,6 +216,9 @@ SQL = {
         SELECT seq, {_STATUS.format("t")} AS status, {_STATUS.format("coalesce(error, '')")} AS plain_status, substr(t, 1, 30) AS message FROM m""",
     "resume_any_ok": """
         SELECT DISTINCT id, tag FROM manifest m WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM download_log l WHERE l.id = m.id AND status IN ('ok', 'unavailable'))""",
+    "work_list": """
+        SELECT DISTINCT id, tag FROM manifest m WHERE id IS NOT NULL AND tag IS NOT NULL AND NOT EXISTS (SELECT 1 FROM download_log l WHERE l.id = m.id AND status IN ('ok', 'unavailable'))
+        ORDER BY id, tag LIMIT 20""",
     "resume_latest": """
         WITH s AS (SELECT id, arg_max(status, seq) AS st FROM download_log GROUP BY id)
         SELECT DISTINCT id, tag FROM manifest m WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM s WHERE s.id = m.id AND st IN ('ok', 'unavailable'))""",

@@ -47,6 +47,11 @@ def write_new(df: DataFrame, path: str, key: list[str], overwrite: bool = False)
         df.join(spark.read.parquet(path).select(*key), key, "left_anti").write.mode("append").parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, by: str) -> None:
+    """Clean rewrite of only those partitions that ``df`` has rows for."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 def parse_links(lines: DataFrame, line: str = "value") -> DataFrame:
     """(url, label): text before and after the first #; comment lines and blanks dropped."""
     text = F.trim(line)

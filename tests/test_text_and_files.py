@@ -12,6 +12,7 @@ from klipgrid.functions import geometry as Y
 from klipgrid.functions import text as X
 from klipgrid.functions import timeline as L
 from klipgrid.plugins import SCORES, run_stage
+from klipgrid.sources import reports
 from klipgrid.sources import text_files as S
 
 
@@ -137,6 +138,24 @@ def test_tsv_and_vocabulary(spark, tmp_path):
     assert sorted(r[0] for r in S.read_vocabulary(spark, f"{tmp_path}/v.txt").collect()) == ["x", "y"]
 
 
+def test_sentence_text(spark):
+    df = spark.createDataFrame([("a b", -0.5, [("a", 0.1, 0.25, -0.1234), ("b", 1.0, 2.0, -1.0)])], "t string, s double, w array<struct<word:string,start:double,end:double,score:double>>")
+    got = df.select(X.sentence_text(F.col("t"), F.col("s").cast("string"), F.col("w"))).collect()[0][0]
+    assert got == "Text:  a b\nConf:  -0.5\n\nWORD START END SCORE\na 0.10 0.25 -0.123\nb 1.00 2.00 -1.000\n"
+
+
+def test_reports(spark, tmp_path):
+    df = spark.createDataFrame([("<b>", "v1", 7, -0.1), ("<b>", "v2", 9, -2.0), ("c", "v1", 1, None)], "word string, video_id string, frame_start int, align_score double")
+    assert "<td>&lt;b&gt;</td><td>v1</td>" in reports.html_table(df, "t")
+    page = reports.clip_browser(df, words=1)
+    assert "<h2>&lt;b&gt; (2)</h2>" in page and "class='low'" in page and "<h2>c" not in page
+    r = reports.run_summary(df.withColumn("reason", F.when(F.col("word") == "c", "ok").otherwise("yaw")), "words").collect()[0]
+    assert (r["videos"], r["candidates"], r["written"], r["rejected"]) == (2, 3, 1, {"yaw": 2})
+    S.replace_partitions(df, f"{tmp_path}/p", "video_id")
+    S.replace_partitions(df.where("video_id = 'v2'").withColumn("frame_start", F.lit(5)), f"{tmp_path}/p", "video_id")
+    assert sorted(x["frame_start"] for x in spark.read.parquet(f"{tmp_path}/p").collect()) == [1, 5, 7]
+
+
 def test_streams(spark, tmp_path):
     row = {"id": "a", "url": "u", "duration": 100.0}
     spark.createDataFrame([(row["id"], row["url"], None, None, None, d, "s", None) for d in (100.0, 100.0, 1.0)], schemas.MANIFEST).write.json(f"{tmp_path}/in")
