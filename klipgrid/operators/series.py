@@ -70,3 +70,19 @@ def speech_frames(spans: DataFrame, by: str, start: Column, end: Column, n_frame
     """(by, frame): frames that some span covers, each once."""
     a, b = F.floor(start * fps).cast("int"), F.least(n_frames, F.ceil(end * fps).cast("int"))
     return spans.where(b > a).select(by, F.explode(F.sequence(a, b - 1)).alias("frame")).distinct()
+
+
+def frame_spans(spans: DataFrame, by: str, start: Column, end: Column, fps: int) -> DataFrame:
+    """(by, a, b): the frames a to b - 1 of each span, each pair once."""
+    return spans.select(by, F.floor(start * fps).cast("int").alias("a"), F.ceil(end * fps).cast("int").alias("b")).where("b > a").distinct()
+
+
+def swept(rows: DataFrame, by: str, a: str, b: str) -> DataFrame:
+    """``rows`` with ``new``, the frames a to b - 1 that no row before covers, and ``inside``, whether a span covers a.
+
+    Rows whose b is null are single frames that are asked about.  The sum of ``new``
+    counts the covered frames once, without a row for each.
+    """
+    w = Window.partitionBy(by).orderBy(a, F.col(b).desc_nulls_last())
+    past, upto = F.max(b).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.max(b).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumns({"new": F.greatest(F.lit(0), F.col(b) - F.greatest(F.col(a), past)), "inside": F.coalesce(upto > F.col(a), F.lit(False))})

@@ -7,35 +7,44 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.geometry import scale_720
-from ..operators.series import speech_frames
+from ..operators.series import frame_spans, swept
 from ..sources import table
 from .faces import _DET, CUT, detections, frames
 from .transcripts import USABLE, WORDS, usable_words
 
 
+def _lengths(spark: SparkSession, d: str) -> DataFrame:
+    """(video_id, n): frames of every video with word clips.
 
-def _screen_frames(spark: SparkSession, d: str) -> DataFrame:
-    """Frames 0 to 499 of every video with clips, with their faces and whether there is speech."""
-    det = detections(spark, d).where("frame < 500")
-    scale = scale_720(F.lit(1280), F.lit(720))
-    ok = (F.col("width") * scale >= 1300) & (F.abs("yaw") <= 150) & (F.abs("pitch") <= 40)
-    faces = det.groupBy("video_id", "frame").agg(F.count(F.lit(1)).alias("faces"), F.count_if(ok).alias("valid"))
-    grid = det.select("video_id").distinct().select("video_id", F.explode(F.sequence(F.lit(0), F.lit(499))).alias("frame"))
-    u = table(spark, d, "asr").select("video_id", F.explode("units").alias("u")).where("u.start is not null and u.end is not null")
-    speech = speech_frames(u, "video_id", F.col("u.start"), F.col("u.end"), F.lit(500), 25).withColumn("speech", F.lit(1))
-    out = grid.join(faces, ["video_id", "frame"], "left").join(speech, ["video_id", "frame"], "left")
-    return out.select("video_id", "frame", F.coalesce("faces", F.lit(0)).alias("faces"), F.coalesce("valid", F.lit(0)).alias("valid"), F.coalesce("speech", F.lit(0)).alias("speech"))
+    No table gives the length, so it is the furthest frame that a clip or a
+    transcript reaches; bounds of a clip may be null or not fit together.
+    """
+    words = table(spark, d, "word_clip").select("video_id", F.greatest(F.col("frame_end"), F.col("frame_start") + 14).alias("last"), F.lit(True).alias("clip"))
+    sentences = table(spark, d, "sentence_clip").select("video_id", F.greatest("frame_end", "frame_start").alias("last"), F.lit(False).alias("clip"))
+    units = table(spark, d, "asr").select("video_id", (F.ceil(F.array_max(F.transform("units", lambda u: u.end)) * 25) - 1).cast("int").alias("last"), F.lit(False).alias("clip"))
+    ends = words.unionAll(sentences).unionAll(units).where("video_id is not null")
+    return ends.groupBy("video_id").agg(F.coalesce(F.max("last") + 1, F.lit(0)).alias("n"), F.bool_or("clip").alias("clip")).where("clip").drop("clip")
 
 
 def frame_shares(spark: SparkSession, d: str) -> DataFrame:
-    """Shares of frames in thousandths; a valid frame has one face, and a good one."""
-    f = _screen_frames(spark, d)
-    share = lambda c: F.floor(F.count_if(c) * 1000 / F.count(F.lit(1)) + 0.5).cast("long")
+    """Shares of all frames of a video in thousandths; a valid frame has one face, and a good one."""
+    scale = scale_720(F.lit(1280), F.lit(720))
+    ok = (F.col("width") * scale >= 1300) & (F.abs("yaw") <= 150) & (F.abs("pitch") <= 40)
+    faces = detections(spark, d).groupBy("video_id", "frame").agg(F.count(F.lit(1)).alias("faces"), F.count_if(ok).alias("valid"))
+    u = table(spark, d, "asr").select("video_id", F.explode("units").alias("u")).where("u.start is not null and u.end is not null")
+    spans = frame_spans(u, "video_id", F.col("u.start"), F.col("u.end"), 25)
+    # one sweep over frames with faces and spans of speech; frames with neither are counted by the length, not made
+    both = faces.select("video_id", F.col("frame").alias("a"), F.lit(None).cast("int").alias("b"), "faces", "valid").unionByName(spans, allowMissingColumns=True)
     one = F.col("faces") == 1
     valid = one & (F.col("valid") == 1)
-    return f.groupBy("video_id").agg(
-        share(one).alias("one_face"), share(F.col("faces") > 1).alias("multi_face"), share(F.col("faces") == 0).alias("no_face"),
-        share(valid).alias("valid_face"), share(F.col("speech") == 1).alias("speech"), share(valid & (F.col("speech") == 1)).alias("usable"),
+    seen = swept(both, "video_id", "a", "b").groupBy("video_id").agg(
+        F.count_if(one).alias("one"), F.count_if(F.col("faces") > 1).alias("multi"), F.count("faces").alias("any"),
+        F.count_if(valid).alias("valid"), F.sum("new").alias("speech"), F.count_if(valid & F.col("inside")).alias("usable"),
+    )
+    share = lambda c: F.when(F.col("n") > 0, F.floor(F.coalesce(c, F.lit(0)) * 1000 / F.col("n") + 0.5)).otherwise(0).cast("long")
+    return _lengths(spark, d).join(seen, "video_id", "left").select(
+        "video_id", share(F.col("one")).alias("one_face"), share(F.col("multi")).alias("multi_face"), share(F.col("n") - F.coalesce("any", F.lit(0))).alias("no_face"),
+        share(F.col("valid")).alias("valid_face"), share(F.col("speech")).alias("speech"), share(F.col("usable")).alias("usable"),
     )
 
 
