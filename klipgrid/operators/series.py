@@ -66,12 +66,6 @@ def cut_segments(rows: DataFrame, by: str, at: str, is_cut: Column) -> DataFrame
     return rows.withColumn("segment", F.sum(is_cut.cast("int")).over(w))
 
 
-def speech_frames(spans: DataFrame, by: str, start: Column, end: Column, n_frames: Column, fps: int) -> DataFrame:
-    """(by, frame): frames that some span covers, each once."""
-    a, b = F.floor(start * fps).cast("int"), F.least(n_frames, F.ceil(end * fps).cast("int"))
-    return spans.where(b > a).select(by, F.explode(F.sequence(a, b - 1)).alias("frame")).distinct()
-
-
 def frame_spans(spans: DataFrame, by: str, start: Column, end: Column, fps: int) -> DataFrame:
     """(by, a, b): the frames a to b - 1 of each span, each pair once."""
     return spans.select(by, F.floor(start * fps).cast("int").alias("a"), F.ceil(end * fps).cast("int").alias("b")).where("b > a").distinct()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeline import word_window
 from ..operators import gate as G
-from ..operators.series import cut_segments, speech_frames
+from ..operators.series import cut_segments, frame_spans, swept
 from ..operators.tracker import track_boxes
 from ..params import Gate
 from ..session import cut
@@ -122,9 +122,10 @@ def shot_cuts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def speech_mask(spark: SparkSession, d: str) -> DataFrame:
+    """Frames with speech of each video, to the end of its last unit: a transcript ends with its video."""
     u = table(spark, d, "asr").select("video_id", F.explode("units").alias("u")).select("video_id", F.col("u.start").alias("s"), F.col("u.end").alias("e")).where("s is not null and e is not null")
-    n = F.lit(3000)
-    return speech_frames(u, "video_id", F.col("s"), F.col("e"), n, 25).groupBy("video_id").agg(F.count(F.lit(1)).alias("n_frames"), F.min("frame").alias("first"), F.max("frame").alias("last"))
+    spans = frame_spans(u, "video_id", F.col("s"), F.col("e"), 25)
+    return swept(spans, "video_id", "a", "b").groupBy("video_id").agg(F.sum("new").alias("n_frames"), F.min("a").alias("first"), (F.max("b") - 1).alias("last"))
 
 
 def clips_on_frames(spark: SparkSession, d: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
 
-from klipgrid.plans import reports
+from klipgrid.plans import faces, reports
 
 from conftest import DATA
 
@@ -49,3 +49,9 @@ def test_frame_shares_take_every_frame_of_a_video(spark):
         want[v] = tuple(math.floor(c * 1000 / length + 0.5) for c in counts)
     got = {r["video_id"]: tuple(r[c] for c in ("one_face", "multi_face", "no_face", "valid_face", "speech", "usable")) for r in reports.frame_shares(spark, DATA).collect()}
     assert got == want
+
+
+def test_speech_mask_goes_to_the_last_unit(spark):
+    want = {v: (len(x), min(x), max(x)) for v, x in spoken().items() if x}
+    assert max(x[2] for x in want.values()) > 3000
+    assert {r["video_id"]: (r["n_frames"], r["first"], r["last"]) for r in faces.speech_mask(spark, DATA).collect()} == want
