@@ -60,6 +60,21 @@ def rolling_count(log: DataFrame, by: list[str], t: str, seconds: int) -> DataFr
     return log.withColumn("in_window", F.count(F.lit(1)).over(w))
 
 
+def rolling_count_in_buckets(log: DataFrame, t: str, seconds: int, bucket: int = 86_400) -> DataFrame:
+    """``log`` with ``in_window``: rows of the whole log in the ``seconds`` up to each row.
+
+    A window holds one ``bucket`` of time and the ``seconds`` before it, whose rows
+    are given to it a second time and not returned; so no task holds the whole log.
+    """
+    if not 0 <= seconds <= bucket:
+        raise ValueError("seconds must fit into a bucket")
+    own = F.floor(F.col(t) / bucket)
+    late = F.pmod(F.col(t), F.lit(bucket)) >= bucket - seconds
+    at = F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own)))
+    rows = log.withColumn("_at", at)
+    return rolling_count(rows, ["_at"], t, seconds).where(F.col("_at") == own).drop("_at")
+
+
 def newest(rows: DataFrame, by: str, order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each ``by``; 0 keeps all."""
     if n <= 0:

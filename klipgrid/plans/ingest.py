@@ -121,8 +121,8 @@ def left_metrics_plan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rate_window(spark: SparkSession, d: str) -> DataFrame:
-    ok = table(spark, d, "download_log").where("status = 'ok' and t is not null").select("seq", F.floor("t").alias("sec"), F.floor(F.col("t") / 86400).alias("day"))
-    out = I.rolling_count(ok, ["day"], "sec", 3600)
+    ok = table(spark, d, "download_log").where("status = 'ok' and t is not null").select("seq", F.floor("t").alias("sec"))
+    out = I.rolling_count_in_buckets(ok, "sec", 3600)
     return out.select("seq", "in_window", (F.col("in_window") >= 150).alias("must_wait"))
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
 
-from klipgrid.plans import faces, reports
+from klipgrid.plans import faces, ingest, reports
 
 from conftest import DATA
 
@@ -55,3 +56,23 @@ def test_speech_mask_goes_to_the_last_unit(spark):
     want = {v: (len(x), min(x), max(x)) for v, x in spoken().items() if x}
     assert max(x[2] for x in want.values()) > 3000
     assert {r["video_id"]: (r["n_frames"], r["first"], r["last"]) for r in faces.speech_mask(spark, DATA).collect()} == want
+
+
+LOG = "seq long, id string, status string, error string, video string, t double"
+
+
+def write_log(spark, folder, rows):
+    spark.createDataFrame([(seq, f"v{seq}", status, None, None, t) for seq, status, t in rows], LOG).write.parquet(f"{folder}/download_log.parquet")
+    return str(folder)
+
+
+def test_rate_window_counts_over_midnight(spark, tmp_path):
+    rnd = random.Random(3)
+    # three midnights, bounds of the hour before them, and more than 150 in an hour across one
+    times = [86_400.0 * k + x for k in (1, 2, 3) for x in (-3601, -3600, -3600, -1, 0, 0, 3599, 3600, 3601)] + [2 * 86_400 + rnd.uniform(-1800, 1800) for _ in range(200)]
+    rows = [(i, rnd.choice(["ok", "ok", "ok", "error"]), t) for i, t in enumerate(times)]
+    ok = [(i, math.floor(t)) for i, status, t in rows if status == "ok"]
+    want = {i: sum(t - 3600 <= x <= t for _, x in ok) for i, t in ok}
+    got = ingest.rate_window(spark, write_log(spark, tmp_path, rows)).collect()
+    assert len(got) == len(ok) and {r["seq"]: r["in_window"] for r in got} == want
+    assert {r["seq"] for r in got if r["must_wait"]} == {i for i, n in want.items() if n >= 150} != set()
