@@ -54,6 +54,30 @@ def limit_streaks(log: DataFrame, by: list[str], seq: str, resets: Column, count
     return log.withColumn("hits", F.sum(counts.cast("int")).over(run)).drop("_run")
 
 
+def limit_streaks_in_blocks(log: DataFrame, block: Column, seq: str, resets: Column, counts: Column) -> DataFrame:
+    """``limit_streaks`` of the whole log, worked on in blocks.
+
+    ``block`` must not fall as ``seq`` rises.  What each block leaves open, its limits
+    since its last reset or all of them, is summed over the table of blocks and
+    carried to the rows before the next block's first reset.
+    """
+    zero = F.lit(0)
+    w = Window.partitionBy("_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+    log = log.withColumns({"_block": block, "_reset": F.coalesce(resets.cast("int"), zero), "_count": F.coalesce(counts.cast("int"), zero)})
+    log = log.withColumn("_run", F.sum("_reset").over(w))
+    per = log.groupBy("_block", "_run").agg(F.sum("_count").alias("_open"))
+    per = per.groupBy("_block").agg(F.max("_run").alias("_runs"), F.max_by("_open", "_run").alias("_open"))
+    # a block with a reset starts a new sum; one row per block
+    order = Window.orderBy(F.col("_block").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("_since", F.count_if(F.col("_runs") > 0).over(order))
+    since = Window.partitionBy("_since").orderBy(F.col("_block").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("_sum", F.sum("_open").over(since))
+    carry = per.select(F.col("_block").alias("_of"), F.lag("_sum", 1, 0).over(Window.orderBy(F.col("_block").asc_nulls_last())).alias("_carry"))
+    run = Window.partitionBy("_block", "_run").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+    log = log.withColumn("hits", F.sum("_count").over(run)).join(carry, F.col("_block").eqNullSafe(F.col("_of")))
+    return log.withColumn("hits", F.col("hits") + F.when(F.col("_run") == 0, F.col("_carry")).otherwise(0)).drop("_block", "_reset", "_count", "_run", "_of", "_carry")
+
+
 def rolling_count(log: DataFrame, by: list[str], t: str, seconds: int) -> DataFrame:
     """``log`` with ``in_window``: rows of the same ``by`` in the ``seconds`` up to each row."""
     w = Window.partitionBy(*by).orderBy(t).rangeBetween(-seconds, 0)

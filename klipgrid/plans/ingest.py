@@ -127,9 +127,9 @@ def rate_window(spark: SparkSession, d: str) -> DataFrame:
 
 
 def backoff_sequence(spark: SparkSession, d: str) -> DataFrame:
-    # sessions of 100 lines, so that no window holds the whole log
-    log = table(spark, d, "download_log").withColumn("session", F.floor(F.col("seq") / 100))
-    out = I.limit_streaks(log, ["session"], "seq", F.col("status") == "ok", F.col("status") == "rate_limited")
+    # blocks of 100 lines, so that no window holds the whole log
+    log = table(spark, d, "download_log")
+    out = I.limit_streaks_in_blocks(log, F.floor(F.col("seq") / 100), "seq", F.col("status") == "ok", F.col("status") == "rate_limited")
     return out.where("status = 'rate_limited'").select("seq", "hits", backoff(F.col("hits")).alias("wait_s"))
 
 

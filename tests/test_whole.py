@@ -76,3 +76,18 @@ def test_rate_window_counts_over_midnight(spark, tmp_path):
     got = ingest.rate_window(spark, write_log(spark, tmp_path, rows)).collect()
     assert len(got) == len(ok) and {r["seq"]: r["in_window"] for r in got} == want
     assert {r["seq"] for r in got if r["must_wait"]} == {i for i, n in want.items() if n >= 150} != set()
+
+
+def test_backoff_goes_on_over_every_hundredth_line(spark, tmp_path):
+    rnd = random.Random(4)
+    # random lines, then 350 without any success (over three borders), then random ones with a hole of 300 numbers
+    rows = [(i, rnd.choice(["ok", "rate_limited", "error", None]), 0.0) for i in range(150)] + [(i, rnd.choice(["rate_limited", "error"]), 0.0) for i in range(150, 500)]
+    rows += [(i, rnd.choice(["ok"] + ["rate_limited"] * 20), 0.0) for i in range(800, 1300)]
+    want, hits = {}, 0
+    for i, status, _ in rows:
+        hits = 0 if status == "ok" else hits + (status == "rate_limited")
+        if status == "rate_limited":
+            want[i] = (hits, min(1800.0 * 2 ** (hits - 1), 14_400.0))
+    got = ingest.backoff_sequence(spark, write_log(spark, tmp_path, rows)).collect()
+    assert max(h for h, _ in want.values()) > 100
+    assert len(got) == len(want) and {r["seq"]: (r["hits"], r["wait_s"]) for r in got} == want
