@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.ranking import with_position
 from ..session import cut
 
-MAX_BITS = 1 << 22  # length of a subset-sum bitset: 512 kB
+MAX_BITS = 1 << 22  # of subset-sum bitsets kept for the way back: 512 kB
 
 
 def links_through(df: DataFrame, node: str, via: str) -> DataFrame:
@@ -60,43 +60,54 @@ def choose_counts(sizes: dict[int, int], target: int, max_bits: int = MAX_BITS)
     """How many components of each size to take so their total is closest to ``target``.
 
     ``sizes`` maps size to multiplicity.  A bitset holds the reachable totals;
-    each multiplicity is cut into powers of two.  Totals beyond ``max_bits`` are
-    first brought below it by taking whole components from the largest size down
-    while they fit, which leaves the choice of the rest exact.  Of two equally
-    close totals the smaller is taken.
+    each multiplicity is cut into powers of two.  Of two equally close totals the
+    smaller is taken.  The way back needs the bitset before each step: of chains
+    with more than ``max_bits`` only the middle is made, and each half is worked
+    off by itself, so at most one bitset a halving is held and the choice is exact
+    at any size.
     """
     taken: dict[int, int] = {}
-    left = dict(sizes)
-    total = sum(s * m for s, m in left.items())
+    total = sum(s * m for s, m in sizes.items())
     target = max(0, min(target, total))
-    if target > max_bits:
-        for s in sorted(left, reverse=True):
-            n = min(left[s], (target - max_bits // 2) // s)
-            if n > 0:
-                taken[s], left[s], target = n, left[s] - n, target - s * n
-            if target <= max_bits:
-                break
-    limit = min(sum(s * m for s, m in left.items()), target + max(left, default=0))
+    limit = min(total, target + max(sizes, default=0))
     mask = (1 << (limit + 1)) - 1
-    steps: list[tuple[int, int, int]] = []  # size, how many, reachable before
-    bits = 1
-    for s, m in sorted(left.items(), reverse=True):
+    steps: list[tuple[int, int]] = []  # size, how many
+    for s, m in sorted(sizes.items(), reverse=True):
         m, k = min(m, limit // s if s else 0), 1
         while m > 0:
             k = min(k, m)
-            steps.append((s, k, bits))
-            bits |= (bits << (s * k)) & mask
+            steps.append((s, k))
             m, k = m - k, k * 2
+
+    def reached(bits: int, lo: int, hi: int) -> int:
+        for s, k in steps[lo:hi]:
+            bits |= (bits << (s * k)) & mask
+        return bits
+
+    bits = reached(1, 0, len(steps))
     below = bits & ((1 << (target + 1)) - 1)
     lo = below.bit_length() - 1
     above = bits >> (target + 1)
     hi = target + 1 + (above & -above).bit_length() - 1 if above else None
     at = lo if hi is None or target - lo <= hi - target else hi
-    for s, k, before in reversed(steps):
-        if before >> at & 1:
-            continue
-        at -= s * k
-        taken[s] = taken.get(s, 0) + k
+    del bits, below, above
+
+    def back(before: int, lo: int, hi: int, at: int) -> int:
+        """Undo steps ``hi`` - 1 to ``lo`` from total ``at``; ``before`` is reachable before ``lo``."""
+        if hi - lo > 1 and (hi - lo) * (limit + 1) > max_bits:
+            mid = (lo + hi) // 2
+            return back(before, lo, mid, back(reached(before, lo, mid), mid, hi, at))
+        chain = [before]
+        for i in range(lo, hi - 1):
+            chain.append(reached(chain[-1], i, i + 1))
+        for (s, k), b in zip(reversed(steps[lo:hi]), reversed(chain)):
+            if not b >> at & 1:
+                at -= s * k
+                taken[s] = taken.get(s, 0) + k
+        return at
+
+    if steps:
+        back(1, 0, len(steps), at)
     return taken
 
 
