@@ -85,9 +85,11 @@ def resume_any_ok(spark: SparkSession, d: str) -> DataFrame:
     return I.pending(_known(spark, d), table(spark, d, "download_log"), "id")
 
 
-def work_list(spark: SparkSession, d: str) -> DataFrame:
-    """The first 20 tagged videos that still have to be fetched: the limit is the command's own."""
-    return resume_any_ok(spark, d).where("tag is not null").orderBy("id", "tag").limit(20)
+def work_list(spark: SparkSession, d: str, max_videos: int = 0, tag: str | None = None) -> DataFrame:
+    """Videos that still have to be fetched, in order; as for the command, 0 is all and no tag is any."""
+    todo = resume_any_ok(spark, d)
+    todo = (todo if tag is None else todo.where(F.col("tag") == tag)).orderBy("id", "tag")
+    return todo.limit(max_videos) if max_videos > 0 else todo
 
 
 def resume_latest(spark: SparkSession, d: str) -> DataFrame:

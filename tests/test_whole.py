@@ -91,3 +91,13 @@ def test_backoff_goes_on_over_every_hundredth_line(spark, tmp_path):
     got = ingest.backoff_sequence(spark, write_log(spark, tmp_path, rows)).collect()
     assert max(h for h, _ in want.values()) > 100
     assert len(got) == len(want) and {r["seq"]: (r["hits"], r["wait_s"]) for r in got} == want
+
+
+def test_work_list_is_whole_by_default(spark, tmp_path):
+    todo = [(f"v{i:03}", None if i % 3 == 0 else "ab"[i % 2]) for i in range(90)]
+    spark.createDataFrame([(i, None, None, None, None, None, None, t) for i, t in [*todo, ("done", "a")]], "id string, url string, title string, channel string, channel_id string, duration double, source string, tag string").write.parquet(f"{tmp_path}/manifest.parquet")
+    spark.createDataFrame([(1, "done", "ok", None, None, 0.0), (2, "v001", "error", None, None, 0.0)], LOG).write.parquet(f"{tmp_path}/download_log.parquet")
+    got = lambda **x: [tuple(r) for r in ingest.work_list(spark, str(tmp_path), **x).collect()]
+    assert got() == todo
+    assert got(max_videos=20) == todo[:20]
+    assert got(tag="b", max_videos=7) == [r for r in todo if r[1] == "b"][:7]
