@@ -40,6 +40,18 @@ class Words:
     min_chars: int = 2
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """Which words are fit for a closed vocabulary; videos stand for speakers."""
+
+    min_ms: float = 250.0
+    max_ms: float = 900.0
+    min_graphemes: int = 3
+    min_videos: int = 20
+    min_channels: int = 3
+    size: int = 500
+
+
 @dataclass(frozen=True)
 class Grid:
     """The frame grid all stages share, and the word window on it."""

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.timeline import padded_window
 from ..operators.series import merged_chunks
-from ..params import Words
+from ..params import Vocabulary, Words
+from ..session import cut
 from ..sources import table
 from ..sources.text_files import parse_vtt, vocabulary_words
 
@@ -122,12 +123,17 @@ def vocab_filter(spark: SparkSession, d: str) -> DataFrame:
     return w.join(vocabulary_words(table(spark, d, "vocab")).withColumnRenamed("word", "label"), "label", "left_semi").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def vocab_select(spark: SparkSession, d: str) -> DataFrame:
-    """Words fit for a closed vocabulary: median length, spelling length, speakers; the 500 commonest."""
-    w = usable_words(spark, d).withColumn("ms", F.floor((F.col("e") - F.col("s")) * 1000 + 0.5))
+def vocab_select(spark: SparkSession, d: str, p: Vocabulary = Vocabulary()) -> DataFrame:
+    """Words fit for a closed vocabulary: median length, graphemes, spread over videos and channels; the commonest of them."""
+    w = usable_words(spark, d).select("label", "video_id", F.floor((F.col("e") - F.col("s")) * 1000 + 0.5).alias("ms"))
+    w = cut(w.where(F.regexp_count("label", F.lit(r"\X")) >= p.min_graphemes))
     g = w.groupBy("label").agg(F.percentile("ms", F.lit(0.5)).alias("ms"), F.countDistinct("video_id").alias("n_videos"), F.count(F.lit(1)).alias("n"))
-    ok = F.col("ms").between(150, 900) & (F.length("label") >= 3) & (F.col("n_videos") >= 5)
-    return g.where(ok).orderBy(F.desc("n"), "label").limit(500).select("label", "n", "n_videos", (F.col("ms") * 2).cast("long").alias("double_ms"))
+    # a video may be listed under several channels, so its words are not joined with them
+    of = table(spark, d, "manifest").where("id is not null and channel_id is not null").select(F.col("id").alias("video_id"), "channel_id").distinct()
+    spread = w.select("label", "video_id").distinct().join(of, "video_id").groupBy("label").agg(F.countDistinct("channel_id").alias("n_channels"))
+    ok = F.col("ms").between(p.min_ms, p.max_ms) & (F.col("n_videos") >= p.min_videos)
+    out = g.where(ok).join(spread.where(F.col("n_channels") >= p.min_channels), "label")
+    return out.orderBy(F.desc("n"), "label").limit(p.size).select("label", "n", "n_videos", (F.col("ms") * 2).cast("long").alias("double_ms"))
 
 
 def low_confidence(spark: SparkSession, d: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
 
-from klipgrid.plans import faces, ingest, reports
+from klipgrid.plans import faces, ingest, reports, transcripts
 
 from conftest import DATA
 
@@ -101,3 +101,19 @@ def test_work_list_is_whole_by_default(spark, tmp_path):
     assert got() == todo
     assert got(max_videos=20) == todo[:20]
     assert got(tag="b", max_videos=7) == [r for r in todo if r[1] == "b"][:7]
+
+
+def test_vocabulary_needs_graphemes_videos_channels_and_length(spark, tmp_path):
+    # word: videos, channels, seconds
+    words = {"কলমদ": (20, 3, 0.3), "খলমদ": (19, 3, 0.3), "গলমদ": (20, 2, 0.3), "ঘলমদ": (20, 3, 0.24), "কীলী": (20, 3, 0.3)}
+    align, seen = [], {}
+    for word, (n, channels, length) in words.items():
+        for i in range(n):
+            video = f"{i % channels}-{i}"
+            seen[video] = f"c{i % channels}"
+            align.append((video, [("asr", [(word, 1.0, 1.0 + length, 0.0)])]))
+    spark.createDataFrame(align, "video_id string, chunks array<struct<source:string,words:array<struct<word:string,start:double,end:double,score:double>>>>").write.parquet(f"{tmp_path}/align.parquet")
+    # listed twice, once under no channel
+    spark.createDataFrame([(v, c) for v, c in seen.items()] * 2 + [(v, None) for v in seen], "id string, channel_id string").write.parquet(f"{tmp_path}/manifest.parquet")
+    got = [tuple(r) for r in transcripts.vocab_select(spark, str(tmp_path)).collect()]
+    assert got == [("কলমদ", 20, 20, 600)]
