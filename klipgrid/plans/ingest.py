@@ -69,12 +69,13 @@ def listing_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 
 def status_classify(spark: SparkSession, d: str) -> DataFrame:
+    """Status of each error; the message is kept to 500 characters, as the log of fetch does."""
     said = table(spark, d, "download_log").select("seq", "error")
     # the markers themselves, so that each branch is met
     marks = [*X.RATE_LIMITED, *X.PERMANENT, "something else"]
     pick = F.element_at(F.array(*[F.lit(m) for m in marks]), (F.pmod("seq", F.lit(len(marks))) + 1).cast("int"))
     text = F.concat(F.coalesce("error", F.lit("")), F.lit(" / "), pick)
-    return said.select("seq", X.status_of(text).alias("status"), X.status_of(F.col("error")).alias("plain_status"), F.substring(text, 1, 30).alias("message"))
+    return said.select("seq", X.status_of(text).alias("status"), X.status_of(F.col("error")).alias("plain_status"), F.substring(text, 1, 500).alias("message"))
 
 
 def _known(spark: SparkSession, d: str) -> DataFrame:

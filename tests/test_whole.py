@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
 
+from klipgrid.functions import text as X
 from klipgrid.plans import faces, ingest, reports, transcripts
 
 from conftest import DATA
@@ -117,3 +118,12 @@ def test_vocabulary_needs_graphemes_videos_channels_and_length(spark, tmp_path):
     spark.createDataFrame([(v, c) for v, c in seen.items()] * 2 + [(v, None) for v in seen], "id string, channel_id string").write.parquet(f"{tmp_path}/manifest.parquet")
     got = [tuple(r) for r in transcripts.vocab_select(spark, str(tmp_path)).collect()]
     assert got == [("কলমদ", 20, 20, 600)]
+
+
+def test_status_keeps_500_characters_of_a_message(spark, tmp_path):
+    errors = [None, "short", "x" * 40, "y" * 600]
+    spark.createDataFrame([(i, "v", "error", e, None, 0.0) for i, e in enumerate(errors)], LOG).write.parquet(f"{tmp_path}/download_log.parquet")
+    got = {r["seq"]: r["message"] for r in ingest.status_classify(spark, str(tmp_path)).collect()}
+    marks = [*X.RATE_LIMITED, *X.PERMANENT, "something else"]
+    assert got == {i: f"{e or ''} / {marks[i % len(marks)]}"[:500] for i, e in enumerate(errors)}
+    assert len(got[3]) == 500
