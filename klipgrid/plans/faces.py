@@ -167,7 +167,7 @@ SQL = {
         SELECT video_id, CAST(segment AS BIGINT) AS segment, min(frame) AS first, max(frame) AS last FROM s GROUP BY video_id, segment""",
     "shot_cuts": f"WITH {_DET} SELECT video_id, frame FROM fr WHERE shot_dist > 0.97::DOUBLE",
     "speech_mask": """
-        WITH u AS (SELECT video_id, unnest(units) AS u FROM asr), b AS (SELECT DISTINCT video_id, CAST(floor(u.start * 25) AS INTEGER) AS a, least(3000, CAST(ceil(u."end" * 25) AS INTEGER)) AS b FROM u),
+        WITH u AS (SELECT video_id, unnest(units) AS u FROM asr), b AS (SELECT DISTINCT video_id, CAST(floor(u.start * 25) AS INTEGER) AS a, CAST(ceil(u."end" * 25) AS INTEGER) AS b FROM u),
         f AS (SELECT DISTINCT video_id, unnest(range(a, b)) AS frame FROM b WHERE b > a)
         SELECT video_id, count(*) AS n_frames, min(frame) AS first, max(frame) AS last FROM f GROUP BY video_id""",
     "clips_on_frames": """

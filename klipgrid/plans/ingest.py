@@ -216,12 +216,11 @@ SQL = {
         SELECT DISTINCT root, node AS leaf FROM t WHERE node NOT IN (SELECT p FROM e)""",
     "status_classify": f"""
         WITH m AS (SELECT seq, error, coalesce(error, '') || ' / ' || list_extract([{_MARKS}], CAST(seq % 13 + 1 AS INTEGER)) AS t FROM download_log)
-        SELECT seq, {_STATUS.format("t")} AS status, {_STATUS.format("coalesce(error, '')")} AS plain_status, substr(t, 1, 30) AS message FROM m""",
+        SELECT seq, {_STATUS.format("t")} AS status, {_STATUS.format("coalesce(error, '')")} AS plain_status, substr(t, 1, 500) AS message FROM m""",
     "resume_any_ok": """
         SELECT DISTINCT id, tag FROM manifest m WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM download_log l WHERE l.id = m.id AND status IN ('ok', 'unavailable'))""",
     "work_list": """
-        SELECT DISTINCT id, tag FROM manifest m WHERE id IS NOT NULL AND tag IS NOT NULL AND NOT EXISTS (SELECT 1 FROM download_log l WHERE l.id = m.id AND status IN ('ok', 'unavailable'))
-        ORDER BY id, tag LIMIT 20""",
+        SELECT DISTINCT id, tag FROM manifest m WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM download_log l WHERE l.id = m.id AND status IN ('ok', 'unavailable')) ORDER BY id, tag""",
     "resume_latest": """
         WITH s AS (SELECT id, arg_max(status, seq) AS st FROM download_log GROUP BY id)
         SELECT DISTINCT id, tag FROM manifest m WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM s WHERE s.id = m.id AND st IN ('ok', 'unavailable'))""",
@@ -235,12 +234,12 @@ SQL = {
         p AS (SELECT id, min(channel) AS channel, min(tag) AS tag FROM manifest WHERE id IS NOT NULL GROUP BY id)
         SELECT video_id, n_clips, coalesce(channel, '?') AS channel, coalesce(tag, '') AS label FROM c LEFT JOIN p ON c.video_id = p.id""",
     "rate_window": """
-        WITH o AS (SELECT seq, CAST(floor(t) AS BIGINT) AS sec, CAST(floor(t / 86400) AS BIGINT) AS day FROM download_log WHERE status = 'ok' AND t IS NOT NULL),
-        w AS (SELECT seq, count(*) OVER (PARTITION BY day ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS in_window FROM o)
+        WITH o AS (SELECT seq, CAST(floor(t) AS BIGINT) AS sec FROM download_log WHERE status = 'ok' AND t IS NOT NULL),
+        w AS (SELECT seq, count(*) OVER (ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS in_window FROM o)
         SELECT seq, in_window, in_window >= 150 AS must_wait FROM w""",
     "backoff_sequence": """
-        WITH g AS (SELECT *, seq // 100 AS s, sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY seq // 100 ORDER BY seq) AS run FROM download_log),
-        h AS (SELECT seq, status, sum(CASE WHEN status = 'rate_limited' THEN 1 ELSE 0 END) OVER (PARTITION BY s, run ORDER BY seq) AS hits FROM g)
+        WITH g AS (SELECT *, sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) OVER (ORDER BY seq) AS run FROM download_log),
+        h AS (SELECT seq, status, sum(CASE WHEN status = 'rate_limited' THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY seq) AS hits FROM g)
         SELECT seq, CAST(hits AS BIGINT) AS hits, least(1800.0::DOUBLE * pow(2, hits - 1), 14400.0::DOUBLE) AS wait_s FROM h WHERE status = 'rate_limited'""",
     "section_bounds": """
         WITH s AS (SELECT DISTINCT id, duration FROM manifest),

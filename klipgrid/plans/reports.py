@@ -111,18 +111,24 @@ QUERIES = {
     for f in (frame_shares, section_metrics, channel_report, channel_members, viewer_words, disjoint_split, source_caps, verify_sample, id_subset)
 }
 
-_SHARE = "CAST(floor(count(*) FILTER (WHERE {0}) * 1000 / count(*) + 0.5::DOUBLE) AS BIGINT)"
+_SHARE = "CASE WHEN n > 0 THEN CAST(floor(({0}) * 1000 / n + 0.5::DOUBLE) AS BIGINT) ELSE 0 END"
+_LENGTHS = """ends AS (SELECT video_id, greatest(frame_end, frame_start + 14) AS last, true AS clip FROM word_clip
+        UNION ALL SELECT video_id, greatest(frame_end, frame_start), false FROM sentence_clip
+        UNION ALL SELECT video_id, CAST(ceil(list_max(list_transform(units, lambda u: u."end")) * 25) - 1 AS INTEGER), false FROM asr),
+    len AS (SELECT video_id, coalesce(max(last) + 1, 0) AS n FROM ends WHERE video_id IS NOT NULL GROUP BY video_id HAVING bool_or(clip))"""
 
 SQL = {
     "frame_shares": f"""
-        WITH {_DET}, t AS (SELECT * FROM det WHERE frame < 500),
-        f AS (SELECT video_id, frame, count(*) AS faces, count(*) FILTER (WHERE width >= 1300 AND abs(yaw) <= 150 AND abs(pitch) <= 40) AS valid FROM t GROUP BY video_id, frame),
-        u AS (SELECT video_id, unnest(units) AS u FROM asr), b AS (SELECT DISTINCT video_id, CAST(floor(u.start * 25) AS INTEGER) AS a, least(500, CAST(ceil(u."end" * 25) AS INTEGER)) AS b FROM u),
-        sp AS (SELECT DISTINCT video_id, unnest(range(a, b)) AS frame, 1 AS speech FROM b WHERE b > a),
-        g AS (SELECT video_id, frame FROM (SELECT DISTINCT video_id FROM t) CROSS JOIN range(500) AS r(frame)),
-        x AS (SELECT g.video_id, g.frame, coalesce(faces, 0) AS faces, coalesce(valid, 0) AS valid, coalesce(speech, 0) AS speech FROM g LEFT JOIN f USING (video_id, frame) LEFT JOIN sp USING (video_id, frame))
-        SELECT video_id, {_SHARE.format("faces = 1")} AS one_face, {_SHARE.format("faces > 1")} AS multi_face, {_SHARE.format("faces = 0")} AS no_face,
-            {_SHARE.format("faces = 1 AND valid = 1")} AS valid_face, {_SHARE.format("speech = 1")} AS speech, {_SHARE.format("faces = 1 AND valid = 1 AND speech = 1")} AS usable FROM x GROUP BY video_id""",
+        WITH {_DET}, {_LENGTHS},
+        f AS (SELECT video_id, frame, count(*) AS faces, count(*) FILTER (WHERE width >= 1300 AND abs(yaw) <= 150 AND abs(pitch) <= 40) AS valid FROM det GROUP BY video_id, frame),
+        u AS (SELECT video_id, unnest(units) AS u FROM asr),
+        sp AS (SELECT DISTINCT video_id, unnest(range(CAST(floor(u.start * 25) AS INTEGER), CAST(ceil(u."end" * 25) AS INTEGER))) AS frame FROM u WHERE u.start IS NOT NULL AND u."end" IS NOT NULL),
+        a AS (SELECT video_id, count(*) FILTER (WHERE faces = 1) AS one, count(*) FILTER (WHERE faces > 1) AS multi, count(*) AS seen, count(*) FILTER (WHERE faces = 1 AND valid = 1) AS good FROM f GROUP BY video_id),
+        s AS (SELECT video_id, count(*) AS speech FROM sp GROUP BY video_id),
+        b AS (SELECT video_id, count(*) AS usable FROM f JOIN sp USING (video_id, frame) WHERE faces = 1 AND valid = 1 GROUP BY video_id)
+        SELECT video_id, {_SHARE.format("coalesce(one, 0)")} AS one_face, {_SHARE.format("coalesce(multi, 0)")} AS multi_face, {_SHARE.format("n - coalesce(seen, 0)")} AS no_face,
+            {_SHARE.format("coalesce(good, 0)")} AS valid_face, {_SHARE.format("coalesce(speech, 0)")} AS speech, {_SHARE.format("coalesce(usable, 0)")} AS usable
+        FROM len LEFT JOIN a USING (video_id) LEFT JOIN s USING (video_id) LEFT JOIN b USING (video_id)""",
     "section_metrics": f"""
         WITH {_DET}, c AS (SELECT video_id, count(*) FILTER (WHERE shot_dist > 0.97::DOUBLE) AS cuts, max(frame) + 1 AS n FROM fr GROUP BY video_id),
         m AS (SELECT video_id, CAST(median(width) * 2 AS BIGINT) AS width_median_x2, CAST(median(abs(yaw)) * 2 AS BIGINT) AS yaw_median_x2 FROM det GROUP BY video_id)

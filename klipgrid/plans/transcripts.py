@@ -146,7 +146,7 @@ def html_escape(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lrs_text(spark: SparkSession, d: str) -> DataFrame:
-    w = words(spark, d).where("s is not null and e is not null and score is not null and chunk < 100000")
+    w = words(spark, d).where("s is not null and e is not null and score is not null")
     ms = lambda c: F.floor(F.col(c) * 100 + 0.5).cast("long")
     line = F.concat_ws(" ", "word", ms("s").cast("string"), ms("e").cast("string"), F.floor(F.col("score") * 1000 + 0.5).cast("long").cast("string"))
     per = w.groupBy("video_id", "chunk").agg(F.array_sort(F.collect_list(F.struct("idx", "s", "word", line.alias("line")))).alias("l"))
@@ -196,9 +196,11 @@ SQL = {
         WITH {WORDS} SELECT video_id, chunk, count(*) AS n_words, CAST(floor(CAST(sum(CAST(floor(score * 10000 + 0.5::DOUBLE) AS BIGINT)) AS BIGINT) / count(*) + 0.5::DOUBLE) AS BIGINT) AS score_e4
         FROM words WHERE score IS NOT NULL GROUP BY video_id, chunk""",
     "vocab_filter": f"WITH {WORDS} SELECT label, count(*) AS n FROM words WHERE label IN (SELECT trim(split_part(line, chr(9), 1)) FROM vocab) AND label <> '' GROUP BY label",
-    "vocab_select": f"""
-        WITH {WORDS}, g AS (SELECT label, median(floor((e - s) * 1000 + 0.5::DOUBLE)) AS ms, count(DISTINCT video_id) AS n_videos, count(*) AS n FROM words WHERE {USABLE} GROUP BY label)
-        SELECT label, n, n_videos, CAST(ms * 2 AS BIGINT) AS double_ms FROM g WHERE ms BETWEEN 150 AND 900 AND length(label) >= 3 AND n_videos >= 5 ORDER BY n DESC, label LIMIT 500""",
+    "vocab_select": rf"""
+        WITH {WORDS}, k AS (SELECT * FROM words WHERE {USABLE} AND length(regexp_replace(label, '\pM', '', 'g')) + CASE WHEN regexp_matches(label, '^\pM') THEN 1 ELSE 0 END >= 3),
+        g AS (SELECT label, median(floor((e - s) * 1000 + 0.5::DOUBLE)) AS ms, count(DISTINCT video_id) AS n_videos, count(*) AS n FROM k GROUP BY label),
+        c AS (SELECT label, count(DISTINCT channel_id) AS n_channels FROM k JOIN manifest ON id = video_id GROUP BY label)
+        SELECT label, n, n_videos, CAST(ms * 2 AS BIGINT) AS double_ms FROM g JOIN c USING (label) WHERE ms BETWEEN 250 AND 900 AND n_videos >= 20 AND n_channels >= 3 ORDER BY n DESC, label LIMIT 500""",
     "low_confidence": f"WITH {WORDS} SELECT video_id, chunk, idx, s, score < -1.0 AS low FROM words",
     "html_escape": """
         SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS html FROM documents""",
