@@ -50,6 +50,16 @@ def sentence_window(start: Column, end: Column, n_frames: Column, offset: Column
     return i0, F.least(n_frames, F.floor(frame_of(end, offset, grid)).cast("int") + 1)
 
 
+def sentence_word_frames(start: Column, end: Column, i0: Column, i1: Column, offset: Column | float = 0.0, grid: Grid = GRID) -> tuple[Column, Column]:
+    """First and last frame of a word in its sentence [i0, i1): with tolerance, each held at one end only.
+
+    A word shorter than a frame has an end before its start; there is no fallback.
+    """
+    a = F.ceil(frame_of(start, offset, grid) - 1e-6).cast("int") - i0
+    b = F.floor(frame_of(end, offset, grid) + 1e-6).cast("int") - i0
+    return F.greatest(F.lit(0), a), F.least(i1 - i0 - 1, b)
+
+
 def padded_window(start: Column, end: Column, total: Column, pad: float = 0.25) -> tuple[Column, Column]:
     """Span handed to the aligner: padded, within the recording."""
     return F.greatest(F.lit(0.0), start - pad), F.least(total, end + pad)

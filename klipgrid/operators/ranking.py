@@ -65,3 +65,25 @@ def row_at_weight(df: DataFrame, key: list[str], order: list[Column], weight: st
     near = near.withColumn("_reached", F.col("_before") + F.sum(weight).over(upto))
     hit = (F.col("_reached") >= F.col(target)) & (F.col("_reached") - F.col(weight) < F.col(target))
     return near.where(hit).drop("_part", "_row", "_before")
+
+
+def running_sum(df: DataFrame, key: list[str], order: list[Column], value: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the key up to and with each, in ``order``.
+
+    Windows hold one key within one partition of the range sort, so a key with
+    most of the rows is worked on by as many tasks as it fills.  What is carried
+    over a partition's border belongs to the one key that goes on behind it, so
+    the table of carries has at most one row per partition, which bounds its
+    broadcast.  Null keys are a key; a null value counts as 0.
+    """
+    rows = range_sorted(df, *[F.col(k) for k in key], *order)
+    sums = rows.groupBy("_part", *key).agg(F.coalesce(F.sum(value), F.lit(0)).alias("_sum"))
+    past = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.withColumn("_carry", F.sum("_sum").over(past)).where("_carry is not null")
+    carry = carry.select(F.col("_part").alias("_at"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], "_carry")
+    same = F.col("_part") == F.col("_at")
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    here = Window.partitionBy("_part", *key).orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumn("_here", F.coalesce(F.sum(value).over(here), F.lit(0))).join(F.broadcast(carry), same, "left")
+    return out.withColumn(name, F.col("_here") + F.coalesce("_carry", F.lit(0))).select(*df.columns, name)

@@ -44,19 +44,6 @@ def audio_index(spark: SparkSession, d: str) -> DataFrame:
     return c.select("video_id", "frame_start", a.alias("first_sample"), n.alias("n_samples"))
 
 
-def sentence_clip_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Sentences with the first gate they fail: words and score, length, start before the video."""
-    c = table(spark, d, "align").select("video_id", F.posexplode("chunks").alias("chunk", "c"))
-    i0, i1 = L.sentence_window(F.col("c.start"), F.col("c.end"), F.lit(1_000_000))
-    c = c.select("video_id", "chunk", "c", i0.alias("i0"), i1.alias("i1"), F.greatest(F.size(F.coalesce("c.words", F.array())), F.lit(0)).alias("n_words"))
-    secs = (F.col("i1") - F.col("i0")) / 25
-    bad = (F.col("n_words") == 0) | F.col("c.score").isNull() | (F.col("c.score") < -1.0)
-    reason = F.when(bad, "low_align_score").when(~secs.between(1, 20), "length").when(F.col("i0") < 0, "video_edge").otherwise("ok")
-    rel = F.transform("c.words", lambda w: F.struct((F.ceil(L.frame_of(w.start)).cast("long") - F.col("i0")).alias("a"), (F.floor(L.frame_of(w.end)).cast("long") - F.col("i0")).alias("b")))
-    spans = F.array_join(F.transform(rel, lambda r: F.concat_ws("-", r.a.cast("string"), r.b.cast("string"))), " ")
-    return c.select("video_id", "chunk", "i0", "i1", "n_words", reason.alias("reason"), (((F.col("i1") - F.col("i0")) * 5) / 100).cast("int").alias("max_missing"), spans.alias("word_frames")).distinct()
-
-
 def shot_distance(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("hist"))
     return shot_distances(e, "label", "vec_id", "hist").select("vec_id", "label", _micro(F.col("shot_dist")).alias("shot_dist_e6"))
@@ -86,10 +73,10 @@ def iou_pairs(spark: SparkSession, d: str) -> DataFrame:
 def _crops(spark: SparkSession, d: str) -> DataFrame:
     p = _points(spark, d).withColumn("b", Y.landmark_box(F.col("pts")))
     p = p.withColumn("size", F.greatest(F.col("b.x1") - F.col("b.x0"), F.col("b.y1") - F.col("b.y0"))).withColumn("nose", F.element_at("pts", Y.NOSE_TIP + 1))
-    g = p.groupBy("label", "clip").agg(F.array_sort(F.collect_list(F.struct("vec_id", "nose", "size", F.element_at("pts", 1).alias("p0")))).alias("f"))
+    g = p.groupBy("label", "clip").agg(F.array_sort(F.collect_list(F.struct("vec_id", "nose", "size", "pts"))).alias("f"))
     g = g.withColumns({"cx": Y.smoothed(F.transform("f", lambda x: x.nose.x), 5), "cy": Y.smoothed(F.transform("f", lambda x: x.nose.y), 5), "side": Y.crop_side(F.transform("f", lambda x: x["size"]))})
     z = g.select("side", F.explode(F.arrays_zip("f", "cx", "cy")).alias("z"))
-    return z.select(F.col("z.f.vec_id").alias("vec_id"), F.col("z.cx").alias("cx"), F.col("z.cy").alias("cy"), "side", F.col("z.f.p0").alias("p0"))
+    return z.select(F.col("z.f.vec_id").alias("vec_id"), F.col("z.cx").alias("cx"), F.col("z.cy").alias("cy"), "side", F.col("z.f.pts").alias("pts"))
 
 
 def crop_boxes(spark: SparkSession, d: str) -> DataFrame:
@@ -104,9 +91,9 @@ def pad_fraction(spark: SparkSession, d: str) -> DataFrame:
 
 def clip_landmarks(spark: SparkSession, d: str) -> DataFrame:
     x0, y0, s = Y.int_box(F.col("cx"), F.col("cy"), F.col("side"))
-    b = _crops(spark, d).select("vec_id", "p0", x0.alias("x0"), y0.alias("y0"), s.alias("s"))
+    b = _crops(spark, d).select("vec_id", x0.alias("x0"), y0.alias("y0"), s.alias("s"), F.posexplode("pts").alias("point", "p"))
     e3 = lambda c: F.floor(c * 1000 + 0.5).cast("long")
-    return b.select("vec_id", e3(Y.to_clip(F.col("p0.x"), F.col("x0"), F.col("s"), 256)).alias("x_e3"), e3(Y.to_clip(F.col("p0.y"), F.col("y0"), F.col("s"), 256)).alias("y_e3"))
+    return b.select("vec_id", "point", e3(Y.to_clip(F.col("p.x"), F.col("x0"), F.col("s"), 256)).alias("x_e3"), e3(Y.to_clip(F.col("p.y"), F.col("y0"), F.col("s"), 256)).alias("y_e3"))
 
 
 def gap_interpolate(spark: SparkSession, d: str) -> DataFrame:
@@ -119,7 +106,7 @@ def gap_interpolate(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        frame_grid, word_clip_rows, audio_index, sentence_clip_rows, shot_distance, landmark_boxes, iou_pairs, crop_boxes, pad_fraction, clip_landmarks, gap_interpolate,
+        frame_grid, word_clip_rows, audio_index, shot_distance, landmark_boxes, iou_pairs, crop_boxes, pad_fraction, clip_landmarks, gap_interpolate,
     )
 }
 
@@ -130,7 +117,7 @@ _PTS = """pt AS (SELECT vec_id, label, vec_id // 29 AS clip, list_transform(rang
     bx AS (SELECT *, list_min(px) AS x0, list_min(py) AS y0, list_max(px) AS x1, list_max(py) AS y1 FROM pt)"""
 _CROP = f"""{_PTS}, fr AS (SELECT *, row_number() OVER (PARTITION BY label, clip ORDER BY vec_id) AS k, count(*) OVER (PARTITION BY label, clip) AS n FROM bx),
     gl AS (SELECT label, clip, list(px[2] ORDER BY vec_id) AS nx, list(py[2] ORDER BY vec_id) AS ny, median(greatest(x1 - x0, y1 - y0)) * 1.6::DOUBLE AS side FROM fr GROUP BY label, clip),
-    cr AS (SELECT vec_id, px[1] AS p0x, py[1] AS p0y, side,
+    cr AS (SELECT vec_id, px, py, side,
         CASE WHEN n > 1 THEN list_reduce(list_transform([-2, -1, 0, 1, 2], lambda j: nx[greatest(1, least(n, k + j))]), lambda a, b: a + b) / 5 ELSE px[2] END AS cx,
         CASE WHEN n > 1 THEN list_reduce(list_transform([-2, -1, 0, 1, 2], lambda j: ny[greatest(1, least(n, k + j))]), lambda a, b: a + b) / 5 ELSE py[2] END AS cy
         FROM fr JOIN gl USING (label, clip)),
@@ -144,12 +131,6 @@ SQL = {
         FROM fb WHERE i0 >= 0""",
     "audio_index": """
         SELECT DISTINCT video_id, frame_start, CAST(round_even(frame_start / 25::DOUBLE * 16000, 0) AS BIGINT) AS first_sample, n_frames * 640 AS n_samples FROM word_clip WHERE frame_start IS NOT NULL""",
-    "sentence_clip_rows": """
-        WITH c0 AS (SELECT video_id, unnest(chunks) AS c, generate_subscripts(chunks, 1) - 1 AS chunk FROM align),
-        c1 AS (SELECT video_id, chunk, c, CAST(ceil(c.start * 25) AS INTEGER) AS i0, least(1000000, CAST(floor(c."end" * 25) AS INTEGER) + 1) AS i1, coalesce(len(c.words), 0) AS n_words FROM c0)
-        SELECT DISTINCT video_id, chunk, i0, i1, n_words, CASE WHEN n_words = 0 OR c.score IS NULL OR c.score < -1.0::DOUBLE THEN 'low_align_score'
-            WHEN NOT ((i1 - i0) / 25::DOUBLE BETWEEN 1 AND 20) THEN 'length' WHEN i0 < 0 THEN 'video_edge' ELSE 'ok' END AS reason, CAST(trunc((i1 - i0) * 5 / 100::DOUBLE) AS INTEGER) AS max_missing,
-            array_to_string(list_transform(c.words, lambda w: CAST(CAST(ceil(w.start * 25) AS BIGINT) - i0 AS VARCHAR) || '-' || CAST(CAST(floor(w."end" * 25) AS BIGINT) - i0 AS VARCHAR)), ' ') AS word_frames FROM c1""",
     "shot_distance": """
         WITH h AS (SELECT vec_id, label, list_transform(embedding, lambda x: abs(x::DOUBLE)) AS h FROM embeddings),
         p AS (SELECT *, lag(h) OVER (PARTITION BY label ORDER BY vec_id) AS q FROM h),
@@ -166,7 +147,8 @@ SQL = {
         WITH {_CROP} SELECT vec_id, bx0 AS x0, by0 AS y0, bs AS s, CAST(floor((1 - CAST((bs - greatest(0, -bx0) - greatest(0, bx0 + bs - 1000)) * (bs - greatest(0, -by0) - greatest(0, by0 + bs - 1000)) AS DOUBLE)
             / (bs * bs)) * 1000000 + 0.5::DOUBLE) AS BIGINT) AS pad_e6 FROM ib""",
     "clip_landmarks": f"""
-        WITH {_CROP} SELECT vec_id, CAST(floor((p0x - bx0) * (256::DOUBLE / bs) * 1000 + 0.5::DOUBLE) AS BIGINT) AS x_e3, CAST(floor((p0y - by0) * (256::DOUBLE / bs) * 1000 + 0.5::DOUBLE) AS BIGINT) AS y_e3 FROM ib""",
+        WITH {_CROP} SELECT vec_id, CAST(i AS INTEGER) AS point, CAST(floor((px[i + 1] - bx0) * (256::DOUBLE / bs) * 1000 + 0.5::DOUBLE) AS BIGINT) AS x_e3, CAST(floor((py[i + 1] - by0) * (256::DOUBLE / bs) * 1000 + 0.5::DOUBLE) AS BIGINT) AS y_e3
+        FROM ib, range(32) AS r(i)""",
     "gap_interpolate": """
         WITH s AS (SELECT video_id, chunk, CAST(min(frame_start) AS DOUBLE) AS v FROM sentence_clip GROUP BY video_id, chunk),
         f AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN chunk END IGNORE NULLS) OVER p AS a, last_value(v IGNORE NULLS) OVER p AS va,

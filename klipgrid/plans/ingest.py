@@ -102,7 +102,10 @@ def latest_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def resume_missing_output(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "align").select("video_id").distinct().join(table(spark, d, "sentence_clip").select("video_id"), "video_id", "left_anti")
+    """Units of transcripts whose position has no aligned chunk yet."""
+    units = table(spark, d, "asr").select("video_id", F.posexplode("units").alias("chunk", "u")).select("video_id", "chunk").distinct()
+    done = table(spark, d, "align").select("video_id", F.posexplode("chunks").alias("chunk", "c")).select("video_id", "chunk")
+    return units.join(done, ["video_id", "chunk"], "left_anti")
 
 
 def semi_ready(spark: SparkSession, d: str) -> DataFrame:
@@ -114,7 +117,8 @@ def ready_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def difference_ids(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "manifest").where("id is not null").select(F.col("id").alias("video_id")).subtract(table(spark, d, "align").select("video_id"))
+    """Videos with word clips that the manifest does not list."""
+    return table(spark, d, "word_clip").select("video_id").subtract(table(spark, d, "manifest").select(F.col("id").alias("video_id")))
 
 
 def left_metrics_plan(spark: SparkSession, d: str) -> DataFrame:
@@ -225,10 +229,12 @@ SQL = {
         WITH s AS (SELECT id, arg_max(status, seq) AS st FROM download_log GROUP BY id)
         SELECT DISTINCT id, tag FROM manifest m WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM s WHERE s.id = m.id AND st IN ('ok', 'unavailable'))""",
     "latest_status": "SELECT id, arg_max(status, seq) AS status FROM download_log GROUP BY id",
-    "resume_missing_output": "SELECT DISTINCT video_id FROM align a WHERE NOT EXISTS (SELECT 1 FROM sentence_clip s WHERE s.video_id = a.video_id)",
+    "resume_missing_output": """
+        WITH u AS (SELECT DISTINCT video_id, unnest(range(len(units))) AS chunk FROM asr), a AS (SELECT DISTINCT video_id, unnest(range(len(chunks))) AS chunk FROM align)
+        SELECT video_id, chunk FROM u WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.video_id = u.video_id AND a.chunk = u.chunk)""",
     "semi_ready": "SELECT DISTINCT video_id FROM align a WHERE EXISTS (SELECT 1 FROM word_clip s WHERE s.video_id = a.video_id)",
     "ready_ids": "SELECT video_id FROM align INTERSECT SELECT video_id FROM sentence_clip",
-    "difference_ids": "SELECT id AS video_id FROM manifest WHERE id IS NOT NULL EXCEPT SELECT video_id FROM align",
+    "difference_ids": "SELECT video_id FROM word_clip EXCEPT SELECT id FROM manifest",
     "left_metrics_plan": """
         WITH c AS (SELECT video_id, count(*) AS n_clips FROM (SELECT DISTINCT * FROM sentence_clip) GROUP BY video_id),
         p AS (SELECT id, min(channel) AS channel, min(tag) AS tag FROM manifest WHERE id IS NOT NULL GROUP BY id)

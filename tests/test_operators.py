@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from klipgrid.operators import gate, ingest, intervals, series, skew, tracker
 from klipgrid.operators.identity import distinct_rows
-from klipgrid.operators.ranking import row_at_weight, with_position
-from klipgrid.params import Tracking
+from klipgrid.operators.ranking import row_at_weight, running_sum, with_position
 
 
 def rows(df):
@@ -179,7 +178,7 @@ CASES = [
 
 def test_gate_reasons(spark):
     windows = spark.createDataFrame([(f"v{n}", 0, 0, "x", 10, 20) for n in range(len(CASES))], "video_id string, chunk int, idx int, label string, i0 int, i1 int")
-    det = spark.createDataFrame([(f"v{n}", *r) for n, c in enumerate(CASES) for r in c[0]], "video_id string, frame int, ord int, track int, width double, yaw double, pitch double")
+    det = spark.createDataFrame([(f"v{n}", *r) for n, c in enumerate(CASES) for r in c[0]], "video_id string, frame int, ord int, track int, width double, yaw double, pitch double").withColumns({"roll": F.lit(0.0), "sharp": F.lit(1.0)})
     fr = spark.createDataFrame([(f"v{n}", *r) for n, c in enumerate(CASES) for r in c[1]], "video_id string, frame int, shot_dist double")
     m = gate.window_metrics(windows, ["chunk", "idx", "label"], det, fr).withColumn("reason", gate.face_reason())
     got = {r["video_id"]: (r["reason"], r["track"]) for r in m.collect()}
@@ -187,37 +186,62 @@ def test_gate_reasons(spark):
     assert got[f"v{len(CASES) - 1}"][1] == 7
 
 
-def test_tracker_against_a_plain_loop(spark):
-    rnd = random.Random(6)
-    data = []
-    for v in ("a", "b"):
-        for f in range(60):
-            if rnd.random() < 0.15:
-                continue
-            for o in range(rnd.randint(1, 3)):
-                x, y = rnd.choice([0, 2, 40]) + rnd.random() * 3, rnd.choice([0, 40])
-                data.append((v, f, o, float(x), float(y), float(x + 20), float(y + 20), f in (20, 41)))
-    df = spark.createDataFrame(data, "video_id string, frame int, ord int, x0 double, y0 double, x1 double, y1 double, is_cut boolean")
-    got = {(r["video_id"], r["frame"], r["ord"]): r["track"] for r in tracker.track_boxes(df).collect()}
-    p = Tracking()
-    for v in ("a", "b"):
-        open_, nxt = {}, 0
-        for f in sorted({r[1] for r in data if r[0] == v}):
-            here = sorted(r for r in data if r[0] == v and r[1] == f)
-            if here[0][7]:
-                open_ = {}
-            open_ = {t: x for t, x in open_.items() if f - x[0] <= p.max_gap + 1}
-            best = sorted([(tracker.box_iou(r[3:7], b), t, j) for t, (_, b) in open_.items() for j, r in enumerate(here)], reverse=True)
-            ids, taken = {}, set()
-            for s, t, j in best:
-                if s >= p.min_iou and t not in taken and j not in ids:
-                    ids[j] = t
-                    taken.add(t)
-            for j, r in enumerate(here):
-                if j not in ids:
-                    ids[j], nxt = nxt, nxt + 1
-                open_[ids[j]] = (f, r[3:7])
-                assert got[v, f, r[2]] == ids[j]
+def box(video, frame, ord_, x, y=0.0, size=20.0):
+    return video, frame, ord_, float(x), float(y), float(x + size), float(y + size)
+
+
+TRACKS = [
+    # video, boxes (frame, ord, x), cuts, expected tracks
+    ("expiry", [(0, 0, 0), (3, 0, 0), (7, 0, 0)], [], [0, 0, 1]),
+    ("cut on a face", [(0, 0, 0), (1, 0, 0), (2, 0, 0)], [1], [0, 1, 1]),
+    ("cut without a face", [(0, 0, 0), (2, 0, 0)], [1], [0, 1]),
+    ("cut before all", [(5, 0, 0), (6, 0, 0)], [0, 0, 3], [0, 0]),
+    ("apart", [(0, 0, 0), (1, 0, 15)], [], [0, 1]),
+    ("best pair first", [(0, 0, 0), (0, 1, 8), (1, 0, 7), (1, 1, 1)], [], [0, 1, 1, 0]),
+    ("equal tracks", [(0, 0, 0), (0, 1, 0), (1, 0, 0)], [], [0, 1, 1]),
+    ("equal boxes", [(0, 0, 0), (1, 0, 0), (1, 1, 0)], [], [0, 1, 0]),
+    ("new in box order", [(0, 0, 0), (1, 0, 100), (1, 1, 0), (1, 2, 200)], [], [0, 1, 0, 2]),
+    ("numbers run on", [(0, 0, 0), (0, 1, 50), (10, 0, 0), (20, 0, 0), (20, 1, 50)], [20], [0, 1, 2, 3, 4]),
+    ("a track is lost while another goes on", [(0, 0, 0), (0, 1, 50), *[(f, 0, 0) for f in range(1, 6)], (6, 0, 50)], [], [0, 1, 0, 0, 0, 0, 0, 2]),
+]
+
+
+def test_tracker(spark):
+    kind = "video_id string, frame int, ord int, x0 double, y0 double, x1 double, y1 double"
+    data = [box(v, *b) for v, boxes, _, _ in TRACKS for b in boxes] + [box(None, 0, 0, 0), box(None, 1, 0, 0)]
+    cuts = spark.createDataFrame([(v, c) for v, _, cs, _ in TRACKS for c in cs], "video_id string, frame int")
+    df = spark.createDataFrame(data, kind).withColumn("track", F.lit("clash"))
+    got = {(r["video_id"], r["frame"], r["ord"]): r["track"] for r in tracker.track_boxes(df, cuts).collect()}
+    for v, boxes, _, want in TRACKS:
+        assert [got[v, f, o] for f, o, _ in boxes] == want, v
+    assert got[None, 0, 0] == got[None, 1, 0] == 0 and len(got) == len(data)
+    assert tracker.track_boxes(df.where("false"), cuts).count() == 0
+
+
+def test_empty_boxes_overlap_nothing():
+    a = np.array([[0.0, 0, 0, 0], [0, 0, 2, 2]])
+    assert tracker.overlaps(a, a).tolist() == [[0, 0], [0, 1]]
+    assert tracker.overlaps(a[1:], np.array([[1.0, 1, 3, 3], [2, 2, 3, 3]])).round(6).tolist() == [[round(1 / 7, 6), 0]]
+
+
+def test_running_sums_cross_partitions(spark):
+    rnd = random.Random(11)
+    data = [(rnd.choice(["hot", "hot", "hot", "a", None]), i, rnd.choice([None, 1, 2])) for i in range(400)]
+    got = {r["t"]: r["n"] for r in running_sum(spark.createDataFrame(data, "k string, t int, x int"), ["k"], [F.col("t")], "x", "n").collect()}
+    sums = Counter()
+    for k, t, x in data:
+        sums[k] += x or 0
+        assert got[t] == sums[k]
+
+
+def test_sentence_reasons(spark):
+    windows = spark.createDataFrame([("v", 0, 3, -0.5, 10, 60), ("v", 1, 0, -0.5, 10, 60), ("v", 2, 3, None, 10, 60), ("v", 3, 3, -1.5, 10, 60), ("v", 4, 3, 0.0, 10, 34), ("v", 5, 3, 0.0, -1, 60), ("v", 6, 3, 0.0, None, None), ("v", 7, 3, 0.0, 12, 62)], "video_id string, chunk int, n_words int, score double, i0 int, i1 int")
+    # two frames of fifty are missing; one of a hundred looks away, which the percentile forgives
+    det = spark.createDataFrame([("v", i, 0, 1, 150.0, 80.0 if i == 30 else 10.0, 5.0, 1.0, 9.0) for i in range(5, 90) if i not in (20, 21, 60)], "video_id string, frame int, ord int, track int, width double, yaw double, pitch double, roll double, sharp double")
+    fr = spark.createDataFrame([("v", i, 0.01) for i in range(100)], "video_id string, frame int, shot_dist double")
+    got = {r["chunk"]: r for r in gate.sentence_reasons(windows, det, fr, gate.Gate(), 0.35).collect()}
+    assert [got[i]["reason"] for i in range(8)] == ["ok", "low_align_score", "low_align_score", "low_align_score", "length", "video_edge", "length", "face_missing"]
+    assert got[0]["metrics"]["missing"] == 2 and got[0]["metrics"]["yaw"] == 10.0 and got[5]["metrics"] is None
 
 
 def test_resume_rules_differ_when_an_error_follows(spark):
@@ -227,6 +251,14 @@ def test_resume_rules_differ_when_an_error_follows(spark):
     assert rows(ingest.pending_by_latest(work, log, "id", "seq")) == [("a",), ("d",)]
 
 
+def test_sentence_word_frames_have_tolerance_and_clamps(spark):
+    from klipgrid.functions.timeline import sentence_word_frames
+
+    df = spark.createDataFrame([(0.56, 0.80, 10, 30), (0.0, 9.0, 10, 30), (1.001, 1.002, 10, 60)], "s double, e double, i0 int, i1 int")
+    got = [tuple(r) for r in df.select(*sentence_word_frames(*[F.col(c) for c in df.columns])).collect()]
+    assert got == [(4, 10), (0, 19), (16, 15)]
+
+
 def test_eligibility_edges(spark):
     df = spark.createDataFrame([(1, None, None, None), (2, 59.9, None, "u"), (3, 60.0, "", "u"), (4, 10800.0, "was_live", "u"), (5, 10800.1, None, "u"), (6, 100.0, "is_live", "u"), (7, 100.0, None, "x/shorts/y"), (8, 300.0, None, "u")], "i int, d double, l string, u string")
     c = (F.col("d"), F.col("l"), F.col("u"))
