@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import Listing, Screening
+from ..session import cut
 
 
 def eligible(duration: Column, live: Column, url: Column, p: Listing = Listing()) -> Column:
@@ -107,19 +110,22 @@ def newest(rows: DataFrame, by: str, order: list[Column], n: int) -> DataFrame:
     return rows.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n)
 
 
-def flatten_listing(edges: DataFrame, roots: DataFrame, depth: int = 8) -> DataFrame:
-    """(root, leaf): leaves under each root of a parent/child listing.
+def flatten_listing(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(root, leaf): leaves under each root of a parent/child listing of any depth.
 
     ``edges`` has parent and child, ``roots`` has root; a root without children
-    is its own leaf.  Levels beyond ``depth`` are an error in the listing and
-    end there as leaves.
+    is its own leaf; null children count as none.  A node is followed once per
+    root, so a listing that contains itself ends, and its cycle has no leaf.  Each
+    level is written to the shared folder.
     """
-    edges = edges.where("child is not null").distinct()
-    level = roots.select("root", F.col("root").alias("node")).distinct()
-    leaves = None
-    for _ in range(depth):
-        joined = level.join(edges, F.col("node") == F.col("parent"), "left")
-        ends = joined.where("child is null").select("root", F.col("node").alias("leaf"))
-        leaves = ends if leaves is None else leaves.unionAll(ends)
-        level = joined.where("child is not null").select("root", F.col("child").alias("node"))
-    return leaves.unionAll(level.select("root", F.col("node").alias("leaf"))).distinct()
+    edges = cut(edges.where("child is not null").select(F.col("parent").alias("node"), "child").distinct())
+    level = cut(roots.select("root", F.col("root").alias("node")).where("root is not null").distinct())
+    seen = [level]
+    while True:
+        step = level.join(edges, "node").select("root", F.col("child").alias("node")).distinct()
+        known = reduce(DataFrame.unionByName, seen)
+        level = cut(step.join(known, ["root", "node"], "left_anti"))
+        if level.isEmpty():
+            break
+        seen.append(level)
+    return reduce(DataFrame.unionByName, seen).join(edges.select("node"), "node", "left_anti").select("root", F.col("node").alias("leaf"))

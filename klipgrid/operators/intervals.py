@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut
+
 BLOCK = 1 << 16  # positions of one state
 FAN = 64  # states that one node of the tree merges
 FLUSH = 1 << 20  # intervals a map task holds before it hands states on
@@ -146,16 +148,28 @@ def periods_and_gaps(df: DataFrame, key: str, start: str, end: str) -> DataFrame
     end < start cover nothing; repeated rows change nothing; touching intervals
     are one period.  Columns: ``key``, ``kind`` ('period' or 'gap'), ``start``,
     ``end``.  A key with one period has no gap; an empty table gives no rows.
+
+    A state lists the pieces of one block, so all but its first and last piece are
+    periods already, and the gaps between its pieces are gaps.  Only the outer
+    pieces are stitched over the borders of blocks: a window sees at most two rows
+    per ``BLOCK`` positions of a key, however many intervals it has.
     """
-    flat = interval_states(df, key, start, end).select("key", F.explode(F.arrays_zip("starts", "ends")).alias("p")).select("key", F.col("p.starts").alias("s"), F.col("p.ends").alias("e"))
-    # pieces are disjoint now, so a look at the one before decides: only blocks that touch remain to be stitched
-    seq = Window.partitionBy("key").orderBy("s")
-    opens = flat.withColumn("prev", F.lag("e").over(seq)).withColumn("new", F.col("prev").isNull() | (F.col("s") > F.col("prev") + 1))
-    opens = opens.withColumn("no", F.sum(F.col("new").cast("long")).over(seq.rowsBetween(Window.unboundedPreceding, 0)))
-    whole = opens.groupBy("key", "no").agg(F.min("s").alias("s"), F.max("e").alias("e"))
-    after = whole.withColumn("next", F.lead("s").over(Window.partitionBy("key").orderBy("no")))
-    rows = F.array(
-        F.struct(F.lit("period").alias("kind"), F.col("s").alias("start"), F.col("e").alias("end")),
-        F.when(F.col("next").isNotNull(), F.struct(F.lit("gap").alias("kind"), (F.col("e") + 1).alias("start"), (F.col("next") - 1).alias("end"))),
+    states = cut(interval_states(df, key, start, end).withColumn("n", F.size("starts")))
+    row = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("start"), b.alias("end"))
+    at = lambda c, i: F.element_at(c, i)
+    # complete within a block: inner pieces, and what lies between two pieces
+    own = F.concat(
+        F.when(F.col("n") > 2, F.transform(F.sequence(F.lit(2), F.col("n") - 1), lambda i: row("period", at("starts", i), at("ends", i)))).otherwise(F.array()),
+        F.when(F.col("n") > 1, F.transform(F.sequence(F.lit(1), F.col("n") - 1), lambda i: row("gap", at("ends", i) + 1, at("starts", i + 1) - 1))).otherwise(F.array()),
     )
-    return after.select("key", F.inline(F.filter(rows, lambda x: x.isNotNull())))
+    inner = states.where("n > 1").select("key", F.inline(own))
+    piece = lambda i: F.struct(at("starts", i).alias("s"), at("ends", i).alias("e"))
+    outer = states.select("key", "block", F.inline(F.when(F.col("n") > 1, F.array(piece(F.lit(1)), piece(F.lit(-1)))).otherwise(F.array(piece(F.lit(1))))))
+    seq = Window.partitionBy("key").orderBy("s")
+    before = outer.withColumns({"prev": F.lag("e").over(seq), "same": F.coalesce(F.lag("block").over(seq) == F.col("block"), F.lit(False))})
+    apart = F.col("prev").isNull() | (F.col("s") > F.col("prev") + 1)
+    before = before.withColumn("no", F.sum(apart.cast("long")).over(seq.rowsBetween(Window.unboundedPreceding, 0)))
+    # the gap between the pieces of one block is listed above
+    gaps = before.where(F.col("prev").isNotNull() & ~F.col("same") & (F.col("s") > F.col("prev") + 1)).select("key", F.lit("gap").alias("kind"), (F.col("prev") + 1).alias("start"), (F.col("s") - 1).alias("end"))
+    whole = before.groupBy("key", "no").agg(F.min("s").alias("start"), F.max("e").alias("end")).select("key", F.lit("period").alias("kind"), "start", "end")
+    return inner.unionByName(whole).unionByName(gaps)

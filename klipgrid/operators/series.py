@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geometry import bhattacharyya
+from ..session import cut
+from .ranking import running_sum
 
 
 def merged_chunks(spans: Column, longest: float = 20.0, gap: float = 1.0, shortest: float = 1.0) -> Column:
     """Speech spans <s, e> joined while the chunk stays short and the gap small.
 
     Whether a span joins depends on where its chunk began, so this is a fold over
-    the sorted spans, inside the executor.
+    the sorted spans, inside the executor, in time linear in their number.
     """
-    kind = "array<struct<s:double,e:double>>"
-    span = lambda s, e: F.array(F.struct(s.cast("double").alias("s"), e.cast("double").alias("e")))
+    return F.filter(_merge(spans, F.lit(float(longest)), F.lit(float(gap))), lambda c: c.e - c.s >= shortest)
 
-    def step(acc: Column, x: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        joins = (F.size(acc) > 0) & (x.e - last.s <= longest) & (x.s - last.e < gap)
-        return F.when(joins, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), span(last.s, x.e))).otherwise(F.concat(acc, span(x.s, x.e)))
 
-    chunks = F.aggregate(F.array_sort(spans), F.array().cast(kind), step)
-    return F.filter(chunks, lambda c: c.e - c.s >= shortest)
+def _fold(spans: pd.Series, longest: pd.Series, gap: pd.Series) -> pd.Series:
+    out = []
+    for row, most, near in zip(spans, longest, gap, strict=True):
+        chunks: list[dict] = []
+        for s, e in sorted((x["s"], x["e"]) for x in (row if row is not None else [])):
+            if chunks and e - chunks[-1]["s"] <= most and s - chunks[-1]["e"] < near:
+                chunks[-1]["e"] = e
+            else:
+                chunks.append({"s": s, "e": e})
+        out.append(chunks)
+    return pd.Series(out)
+
+
+_merge = F.pandas_udf(_fold, T.ArrayType(T.StructType([T.StructField("s", T.DoubleType()), T.StructField("e", T.DoubleType())])))
 
 
 def filled_gaps(rows: DataFrame, by: list[str], at: str, value: str) -> DataFrame:
@@ -50,14 +61,19 @@ def shot_distances(frames: DataFrame, by: str, at: str, hist: str) -> DataFrame:
 def even_picks(rows: DataFrame, by: str, order: list[Column], k: int) -> DataFrame:
     """At most ``k`` rows of each ``by``, evenly spaced: row round(i (n - 1) / max(1, k - 1)).
 
-    Rounding is half to even; with k > n all rows are picked.
+    Rounding is half to even; with k > n all rows are picked; k <= 0 picks none.
+    Positions come from a range sort and counts, so a large group is no window.
     """
-    w = Window.partitionBy(by)
-    rows = rows.withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count(F.lit(1)).over(w)})
-    m = F.least(F.lit(k), F.col("_n"))
+    if k <= 0:
+        return rows.where("false")
+    placed = cut(running_sum(rows.withColumn("_one", F.lit(1).cast("long")), [by], order, "_one", "_nth"))
+    n = placed.groupBy(F.col(by).alias("_by")).agg(F.max("_nth").alias("_n"))
+    m = F.least(F.lit(k).cast("long"), F.col("_n"))
     step = (F.col("_n") - 1) / F.greatest(F.lit(1), m - 1)
-    want = F.transform(F.sequence(F.lit(0), (m - 1).cast("int")), lambda i: F.rint(i * step).cast("int"))
-    return rows.where(F.array_contains(want, F.col("_i"))).drop("_i", "_n")
+    want = F.transform(F.sequence(F.lit(0).cast("long"), m - 1), lambda i: F.rint(i * step).cast("long") + 1)
+    picks = n.select("_by", F.explode(want).alias("_pick")).distinct()
+    same = F.col(by).eqNullSafe(F.col("_by")) & (F.col("_nth") == F.col("_pick"))
+    return placed.join(picks, same).select(*rows.columns)
 
 
 def cut_segments(rows: DataFrame, by: str, at: str, is_cut: Column) -> DataFrame:

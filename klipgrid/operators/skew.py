@@ -24,6 +24,22 @@ def heavy_keys(df: DataFrame, key: list[str], share: float) -> DataFrame:
     )
 
 
+def join_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner", heavy_share: float = 1 / 512) -> DataFrame:
+    """``many`` joined to ``one``, in which ``key`` is unique, when some keys hold much of ``many``.
+
+    Rows of ``one`` for the heavy keys, of which there are at most
+    ``1 / heavy_share``, are broadcast; all other rows meet by hash.  So no task
+    gets more than about ``heavy_share`` of ``many``, however hot a key is.
+    ``how`` is 'inner' or 'left'; null keys meet nothing.
+    """
+    hot = cut(heavy_keys(many.where(F.col(key).isNotNull()), [key], heavy_share).select(key))
+    marked = many.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    top = F.broadcast(one.join(F.broadcast(hot), key, "left_semi"))
+    fast = marked.where("_hot").drop("_hot").join(top, key, how)
+    rest = marked.where("_hot is null").drop("_hot").join(one, key, how)
+    return fast.unionByName(rest)
+
+
 def salted_distinct_count(df: DataFrame, key: list[str], name: str = "n", heavy_share: float = 1 / 512) -> DataFrame:
     """Exact number of different rows of ``df`` for each ``key``.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.timeline import backoff, section_start, section_status
 from ..operators import ingest as I
+from ..operators.identity import distinct_rows
 from ..operators.series import even_picks
 from ..sources import table
 from ..sources.text_files import parse_links, pick_subtitles, vocabulary_words
@@ -17,7 +18,7 @@ _ORDER = ["source", "url", "title", "channel", "channel_id", "duration", "tag"]
 
 def _listed(spark: SparkSession, d: str) -> DataFrame:
     """The manifest as a listing: live states derived from the duration (no such column is given)."""
-    m = table(spark, d, "manifest").distinct()
+    m = distinct_rows(table(spark, d, "manifest"), *table(spark, d, "manifest").columns)
     mod = F.pmod(F.col("duration").cast("long"), F.lit(7))
     live = F.when(mod == 0, "is_live").when(mod == 1, "was_live").when(mod == 2, "none")
     return m.withColumn("live_status", live)
@@ -122,7 +123,7 @@ def difference_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def left_metrics_plan(spark: SparkSession, d: str) -> DataFrame:
-    per = table(spark, d, "sentence_clip").distinct().groupBy("video_id").agg(F.count(F.lit(1)).alias("n_clips"))
+    per = distinct_rows(table(spark, d, "sentence_clip"), "video_id").groupBy("video_id").agg(F.count(F.lit(1)).alias("n_clips"))
     plan = table(spark, d, "manifest").where("id is not null").groupBy(F.col("id").alias("video_id")).agg(F.min("channel").alias("channel"), F.min("tag").alias("label"))
     return per.join(plan, "video_id", "left").select("video_id", "n_clips", F.coalesce("channel", F.lit("?")).alias("channel"), F.coalesce("label", F.lit("")).alias("label"))
 

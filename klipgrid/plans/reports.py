@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.geometry import scale_720
+from ..operators.ranking import running_sum
+from ..operators.identity import distinct_rows
 from ..operators.series import frame_spans, swept
 from ..sources import table
 from .faces import _DET, CUT, detections, frames
@@ -73,12 +75,12 @@ def channel_report(spark: SparkSession, d: str) -> DataFrame:
 def channel_members(spark: SparkSession, d: str) -> DataFrame:
     """Videos of each channel id as rows; a list in one cell would grow with the channel."""
     m = table(spark, d, "manifest").where("id is not null").select(F.coalesce("channel_id", F.lit("?")).alias("channel_id"), "id").distinct()
-    return m.withColumn("nth", F.row_number().over(Window.partitionBy("channel_id").orderBy("id")).cast("long"))
+    return running_sum(m.withColumn("one", F.lit(1).cast("long")), ["channel_id"], [F.col("id")], "one", "nth").drop("one")
 
 
 def viewer_words(spark: SparkSession, d: str) -> DataFrame:
     """The 40 words with most clips: the number the browse page shows."""
-    return table(spark, d, "word_clip").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n_clips")).orderBy(F.desc("n_clips"), "word").limit(40)
+    return distinct_rows(table(spark, d, "word_clip"), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n_clips")).orderBy(F.desc("n_clips"), "word").limit(40)
 
 
 def disjoint_split(spark: SparkSession, d: str) -> DataFrame:

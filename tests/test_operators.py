@@ -84,13 +84,13 @@ def brute_periods(data):
 
 @pytest.mark.parametrize("block", [1 << 16, 16])
 def test_periods_and_gaps(spark, monkeypatch, block):
-    monkeypatch.setattr(intervals, "BLOCK", block)
+    monkeypatch.setattr(intervals, "BLOCK", block)  # of 16: pieces that cross, fill and touch blocks
     rnd = random.Random(3)
     data = []
     for _ in range(600):
         a = rnd.randint(-40, 900)
         data.append((rnd.choice(["hot", "hot", "u", "v", None]), rnd.choice([a, a, a, None]), rnd.choice([a + rnd.randint(-3, 6), a, None])))
-    data += data[:50] + [("one", 5, 5), ("bad", 9, 3)]
+    data += data[:50] + [("one", 5, 5), ("bad", 9, 3), ("long", 3, 200), ("long", 202, 202), ("edge", 0, 15), ("edge", 16, 31), ("edge", 48, 63)]
     df = spark.createDataFrame(data, "video string, a int, b int").repartition(7).withColumn("key", F.lit(1))
     assert rows(intervals.periods_and_gaps(df, "video", "a", "b").select("key", "kind", "start", "end")) == brute_periods(data)
     assert intervals.periods_and_gaps(df.where("false"), "video", "a", "b").count() == 0
@@ -244,6 +244,24 @@ def test_sentence_reasons(spark):
     assert got[0]["metrics"]["missing"] == 2 and got[0]["metrics"]["yaw"] == 10.0 and got[5]["metrics"] is None
 
 
+def test_listings_of_any_depth_and_with_cycles(spark):
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(12)] + [("n3", "side"), ("n3", None), ("loop", "a"), ("a", "b"), ("b", "a"), ("b", "end")]
+    edges = spark.createDataFrame(chain + chain[:3], "parent string, child string")
+    roots = spark.createDataFrame([("n0",), ("n0",), ("loop",), ("alone",), (None,)], "root string")
+    assert rows(ingest.flatten_listing(edges, roots)) == [("alone", "alone"), ("loop", "end"), ("n0", "n12"), ("n0", "side")]
+    assert ingest.flatten_listing(edges, roots.where("false")).count() == 0
+
+
+def test_hot_keys_meet_by_broadcast_and_others_by_hash(spark):
+    data = [("hot", i) for i in range(900)] + [(f"k{i % 40}", i) for i in range(100)] + [(None, 1), ("none", 2)]
+    many = spark.createDataFrame(data, "k string, x int")
+    one = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(40)], ("else", 5)], "k string, y int")
+    want = {"hot": 1, **{f"k{i}": i for i in range(40)}}
+    got = rows(skew.join_unique(many, one, "k", heavy_share=0.3).select("k", "x", "y"))
+    assert got == sorted((k, x, want[k]) for k, x in data if k in want)
+    assert skew.join_unique(many, one, "k", "left", 0.3).count() == len(data)
+
+
 def test_resume_rules_differ_when_an_error_follows(spark):
     work = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
     log = spark.createDataFrame([("a", "ok", 1), ("a", "error", 2), ("b", "error", 1), ("b", "ok", 2), ("c", "unavailable", 1)], "id string, status string, seq int")
