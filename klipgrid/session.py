@@ -71,11 +71,16 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(f"{folder}/klipgrid.zip")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` as a written table in the shared folder; its lineage ends there."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new place in the shared folder, removed when the application ends."""
     path = f"{shared_dir(spark)}/klipgrid-tables/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` as a written table in the shared folder; its lineage ends there."""
+    path = scratch(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
