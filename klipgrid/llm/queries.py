@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.identity import distinct_rows
 from ..sources import table
-from ..session import cut
+from ..session import cut, scratch
 from .caps import cap_contributors
 from .cutoffs import fraction_cutoffs
 from .language import detect_passages, label_cases
@@ -19,7 +19,7 @@ from .tokens import count_tokens, encode_corpus
 
 SPLIT_PERMILLE = {"train": 800, "valid": 100, "test": 100}
 CHANNEL_PERMILLE = 30  # of the clips that take part, for one channel
-CAP_BATCHES = 3
+CAP_BATCHES = 2  # the table is given once, so its batches are taken by hash of the video
 CONTAINER = 2048  # tokens
 
 
@@ -63,7 +63,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     cap = max(1, clips.count() * CHANNEL_PERMILLE // 1000)
     order = [("align_score", True), ("video_id", False), ("chunk", False), ("_fp1", False)]
     batch = F.pmod(F.xxhash64("video_id"), F.lit(CAP_BATCHES))
-    return cap_contributors(clips, "channel", order, cap, batch, CAP_BATCHES).log().select("video_id", "chunk").distinct()
+    return cap_contributors(clips, "channel", order, cap, batch, CAP_BATCHES, scratch(spark)).log().select("video_id", "chunk").distinct()
 
 
 def _words(spark: SparkSession, d: str) -> DataFrame:

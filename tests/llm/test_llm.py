@@ -14,7 +14,7 @@ from klipgrid.llm import queries as Q
 from klipgrid.llm import repetition as R
 from klipgrid.llm import splits as S
 from klipgrid.llm import tokens as K
-from klipgrid.llm.caps import cap_contributors
+from klipgrid.llm.caps import CapState, cap_contributors
 from klipgrid.llm.cutoffs import fraction_cutoffs
 
 from conftest import DATA, compare
@@ -147,24 +147,53 @@ def test_related_records_stay_together(spark):
 
 
 @pytest.mark.parametrize(("cap", "batches"), [(1, 1), (3, 3), (500, 2)])
-def test_caps(spark, cap, batches):
+def test_caps(spark, tmp_path, cap, batches):
     rnd = random.Random(7)
     data = [(i, rnd.choice(["hot", "hot", "hot", "a", "b", None]), rnd.choice([None, 0.1, 0.2, rnd.random()]), 1) for i in range(160)]
     df = spark.createDataFrame(data, "id int, who string, score double, _beyond int")
-    state = cap_contributors(df, "who", [("score", True), ("id", False)], cap, F.pmod("id", F.lit(batches)), batches)
-    out = {r["id"] for r in state.log().collect()}
+    state = cap_contributors(df, "who", [("score", True), ("id", False)], cap, F.pmod("id", F.lit(batches)), batches, f"{tmp_path}/s")
+    out = [r["id"] for r in state.log().collect()]
+    want = left_out(data, cap)
+    assert sorted(out) == sorted(want)
+    assert {r["id"] for r in state.kept.collect()} == {r[0] for r in data if r[1]} - want
+    assert "_beyond" in state.kept.columns
+
+
+def left_out(data, cap):
     want = set()
     for w in ("hot", "a", "b"):
         ranked = sorted((r for r in data if r[1] == w), key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))
         want |= {r[0] for r in ranked[cap:]}
-    assert out == want
-    assert {r["id"] for r in state.kept.collect()} == {r[0] for r in data if r[1]} - want
-    assert "_beyond" in state.kept.columns
+    return want
 
 
-def test_caps_of_an_empty_table(spark):
+def test_caps_go_on_in_another_session(spark, tmp_path):
+    rnd = random.Random(8)
+    data = [(i, "a" if i < 40 else rnd.choice(["hot", "hot", "b"]), rnd.choice([None, rnd.random()])) for i in range(120)]
+    kind, path = "id int, who string, score double", f"{tmp_path}/s"
+    other = spark.newSession()
+    CapState.create(other, path, "who", [("score", True), ("id", False)], 5).add(other.createDataFrame(data[:60], kind))
+    # a batch that fails before its state file is there leaves nothing behind
+    (tmp_path / "s" / "admitted" / "v=2").mkdir()
+    state = CapState.open(spark, path)
+    assert state.version == 1
+    state.add(spark.createDataFrame(data[60:], kind))
+    again = CapState.open(spark.newSession(), path)
+    assert again.version == 2 and {r["id"] for r in again.kept.collect()} == {r[0] for r in data} - left_out(data, 5)
+    # "a" has no record in the second batch, so its cutoff isn't written again
+    assert {r["_who"] for r in spark.read.parquet(f"{path}/cutoffs/v=2").collect()} == {"hot", "b"}
+    assert {r["id"] for r in CapState.open(spark, path, 1).kept.collect()} == {r[0] for r in data[:60]} - left_out(data[:60], 5)
+    assert {r["id"] for r in again.log(1).collect()} | {r["id"] for r in again.log(2).collect()} == left_out(data, 5)
+    with pytest.raises(FileExistsError):
+        CapState.create(spark, path, "who", [], 1)
+    with pytest.raises(FileNotFoundError):
+        CapState.open(spark, f"{tmp_path}/none")
+
+
+def test_caps_of_an_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "id int, who string, score double")
-    assert cap_contributors(df, "who", [("score", True), ("id", False)], 2, F.lit(0), 1).log().count() == 0
+    state = cap_contributors(df, "who", [("score", True), ("id", False)], 2, F.lit(0), 1, f"{tmp_path}/s")
+    assert state.log().count() == state.kept.count() == state.cutoffs.count() == 0
 
 
 # 7: plain forms
