@@ -1,4 +1,10 @@
-"""Repeated content inside one document, judged by a learned decision list."""
+"""Repeated content inside one document, judged by a learned decision list.
+
+The exact share of repeated content needs a walk through the text in Python.
+What a few counts say about it comes cheap, as Spark expressions; a decision list
+learned over these counts settles most documents, and only the others are walked
+through.
+"""
 
 from __future__ import annotations
 
@@ -11,14 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut
-
 _DROP = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
-_SENTENCE = regex.compile(r"[.!?।॥۔…]+\s|\n")
+_BLANKS = r"[\x{09}-\x{0D}\x{1C}-\x{1F}\x{85}\p{Z}]+"  # what Python's str.split takes for blanks
 _CACHE = 1 << 17
 
-#: Measured of each document, in the order in which the learner tries them.
-STATS = ["share_3", "share_2", "share_5", "share_1", "share_sentence", "share_line", "longest", "n_words"]
+#: Counted for each document; the first three are bounds of the share from above, the next from below.
+STATS = ["top_1", "top_2", "top_3", "low_3", "n_words", "n_different", "per_different", "n_chars", "chars_per_word", "n_lines"]
+ABOVE, BELOW = ("top_1", "top_2", "top_3"), ("low_3",)
 
 
 class _Words:
@@ -40,67 +45,82 @@ class _Words:
         return out
 
 
-def repeated_words(words: list, run: int) -> tuple[int, int]:
-    """Words inside a run of ``run`` words that also starts earlier; the longest such stretch."""
+def repeated_words(words: list, run: int = 3) -> int:
+    """Words inside a run of ``run`` words that also starts earlier."""
     seen: set = set()
-    covered = longest = stretch = 0
-    upto = 0  # words before this position are counted already
+    covered = upto = 0  # words before ``upto`` are counted already
     for i in range(len(words) - run + 1):
-        gram = tuple(words[i : i + run]) if run > 1 else words[i]
+        gram = tuple(words[i : i + run])
         if gram in seen:
-            new = i + run - max(i, upto)
-            stretch = stretch + new if upto >= i and stretch else run
-            covered += new
+            covered += i + run - max(i, upto)
             upto = i + run
-            longest = max(longest, stretch)
         else:
             seen.add(gram)
-    return covered, longest
-
-
-def _repeated_parts(parts: list[str]) -> float:
-    """Share of characters in parts (sentences, lines) that stood before."""
-    seen, again, total = set(), 0, 0
-    for p in parts:
-        p = " ".join(p.split()).casefold()
-        total += len(p)
-        if p in seen:
-            again += len(p)
-        elif p:
-            seen.add(p)
-    return again / total if total else 0.0
-
-
-def measure(text: str | None, words: _Words) -> tuple[float, ...]:
-    """The numbers of ``STATS``; all 0 for null, empty and wordless texts."""
-    w = words(text) if text else []
-    n = len(w)
-    if not n:
-        return (0.0,) * len(STATS)
-    if len(set(w)) == n:  # no word twice: nothing can be repeated
-        three = two = five = one = longest = 0
-    else:
-        three, longest = repeated_words(w, 3)
-        two, _ = repeated_words(w, 2)
-        five = repeated_words(w, 5)[0] if three else 0
-        one = n - len(set(w))
-    return (three / n, two / n, five / n, one / n, _repeated_parts(_SENTENCE.split(text)), _repeated_parts(text.split("\n")), longest / n, float(n))
-
-
-def repetition_stats(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys`` and the columns ``STATS`` of each row of ``df``."""
-    names = [df.schema[k] for k in keys]
-    schema = T.StructType([*names, *[T.StructField(s, T.DoubleType()) for s in STATS]])
+    return covered
+
+
+def exact_shares(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys`` and ``share``: the share of words in repeated runs, by walking through each text.
+
+    0 for null, empty and wordless texts.
+    """
+    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("share", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for b in batches:
-            rows = np.array([measure(t, words) for t in b.column(len(keys)).to_pylist()], dtype=np.float64).reshape(b.num_rows, len(STATS))
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], *[pa.array(rows[:, i]) for i in range(len(STATS))]], names=[*keys, *STATS])
+            out = []
+            for t in b.column(len(keys)).to_pylist():
+                w = words(t) if t else []
+                out.append(repeated_words(w) / len(w) if w else 0.0)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(out, pa.float64())], names=[*keys, "share"])
 
     return df.select(*keys, text).mapInArrow(run, schema)
 
 
+def counted(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys``, ``_text`` and the columns ``STATS``, as Spark expressions.
+
+    With n words, d1 different words, and d2, d3 different runs of two and three:
+    a word in a run that stood before is a word that stood before, so at most
+    n - d1 words are repeated content.  Each repeated run of three holds two
+    repeated runs of two, and a stretch of L words at least 2L/3 of them, so at
+    most 1.5 (n - 1 - d2) words are; each repeated run of three covers at most
+    three words, so at most 3 (n - 2 - d3) are, and at least n - 2 - d3 + 2.
+
+    Upper bounds must not miss an equality, lower ones not invent one.  So words
+    are compared in capitals above (coarser than folding) and in small letters
+    below (finer).  Texts with code points that this JVM doesn't know may be split
+    otherwise in Python: their bounds say nothing.  Runs are compared by 64-bit
+    hashes.
+    """
+    plain = F.regexp_replace(F.coalesce(F.col("_text"), F.lit("")), r"[^\p{L}\p{M}\p{N}\x{09}-\x{0D}\x{1C}-\x{1F}\x{85}\p{Z}]", "")
+    split = lambda c: F.filter(F.split(c, _BLANKS), lambda x: x != "")
+    hashes = lambda c: F.transform(split(c), lambda x: F.xxhash64(x))
+    rows = df.select(*keys, F.col(text).alias("_text"))
+    # a generator of one row is a border over which no filter is pushed, so that words are split once, not once in each use
+    once = lambda df, keep, cols: df.select(*keep, F.inline(F.array(F.struct(*cols))))
+    rows = once(rows, [*keys, "_text"], [plain.alias("_p")])
+    rows = once(rows, [*keys, "_text", "_p"], [hashes(F.upper(F.lower("_p"))).alias("_u"), hashes(F.lower("_p")).alias("_l")])
+    n = F.size("_u")
+    runs = lambda c, k: F.size(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.xxhash64(*[F.try_element_at(F.col(c), i + j) for j in range(k)]))))
+    rows = once(rows, [*keys, "_text", "_p"], [x.alias(a) for a, x in {
+        "n": n.cast("double"), "d1": F.size(F.array_distinct("_u")).cast("double"), "d2": runs("_u", 2).cast("double"), "d3": runs("_u", 3).cast("double"), "e3": runs("_l", 3).cast("double"),
+        "odd": F.coalesce(F.col("_text").rlike(r"\p{Cn}"), F.lit(False)),
+    }.items()])
+    c = F.col
+    per = lambda x: F.when(c("odd"), F.lit(1.0)).when(c("n") > 0, F.least(F.lit(1.0), x / c("n"))).otherwise(F.lit(0.0))
+    again = c("n") - 2 - c("e3")
+    return rows.select(
+        *keys, "_text", per(c("n") - c("d1")).alias("top_1"), F.when(c("n") < 3, per(F.lit(0.0))).otherwise(per((c("n") - 1 - c("d2")) * 1.5)).alias("top_2"),
+        F.when(c("n") < 3, per(F.lit(0.0))).otherwise(per((c("n") - 2 - c("d3")) * 3)).alias("top_3"),
+        F.when(~c("odd") & (c("n") >= 3) & (again > 0), (again + 2) / c("n")).otherwise(F.lit(0.0)).alias("low_3"),
+        c("n").alias("n_words"), c("d1").alias("n_different"), F.when(c("n") > 0, c("n") / c("d1")).otherwise(F.lit(0.0)).alias("per_different"),
+        F.length("_p").cast("double").alias("n_chars"), F.when(c("n") > 0, F.length("_p") / c("n")).otherwise(F.lit(0.0)).alias("chars_per_word"),
+        F.size(F.split(F.coalesce("_text", F.lit("")), "\n")).cast("double").alias("n_lines"),
+    )
+
+
 class DecisionList:
     """Ordered rules: conjunctions of thresholds, each naming a class.
 
@@ -115,13 +135,13 @@ class DecisionList:
         self.rules = rules
 
     @staticmethod
-    def _grow(x: np.ndarray, y: np.ndarray, names: list[str], max_conditions: int) -> list[tuple[int, str, float]]:
+    def _grow(x: np.ndarray, y: np.ndarray, tried: list[int], max_conditions: int) -> list[tuple[int, str, float]]:
         live, rule = np.ones(len(y), bool), []
         while (live & ~y).any() and len(rule) < max_conditions:
             p0, n0 = (live & y).sum(), (live & ~y).sum()
             base = np.log2(p0 / (p0 + n0))
             best = None
-            for j in range(len(names)):
+            for j in tried:
                 v = x[live, j]
                 pos = y[live]
                 order = np.argsort(v, kind="stable")
@@ -154,9 +174,11 @@ class DecisionList:
         return out
 
     @classmethod
-    def fit(cls, x: np.ndarray, labels: np.ndarray, names: list[str], max_rules: int = 16, max_conditions: int = 4) -> DecisionList:
+    def fit(cls, x: np.ndarray, labels: np.ndarray, names: list[str], max_rules: int = 16, max_conditions: int = 4, first: dict[str, tuple[str, ...]] | None = None) -> DecisionList:
         """Learn from rows ``x`` with classes ``labels``; rarer classes come first.
 
+        Of equally good conditions the one on a column in ``first`` of the class wins.
+
         Every third row is for pruning.  A class whose rows give no pure rule
         gets none; without rows the list is empty.
         """
@@ -166,10 +188,11 @@ class DecisionList:
         live = np.ones(len(labels), bool)
         for kind in [k for _, k in sorted(zip(counts, kinds, strict=True))]:
             y = labels == kind
+            tried = sorted(range(len(names)), key=lambda j: names[j] not in (first or {}).get(str(kind), ()))
             while (live & y & ~part).any() and len(rules) < max_rules:
                 rest = live | ~y  # rows of other classes count although a rule took them away
                 g, test = rest & ~part, rest & part
-                rule = cls._grow(x[g], y[g], names, max_conditions)
+                rule = cls._grow(x[g], y[g], tried, max_conditions)
 
                 def worth(r: list) -> float:
                     c = cls._covers(x[test], r)
@@ -179,6 +202,9 @@ class DecisionList:
                 while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
                     rule = rule[:-1]
                 covered = cls._covers(x, rule)
+                if (covered & ~y).any():  # a row of the pruning part is in the way: grow with it, unpruned
+                    rule = cls._grow(x[rest], y[rest], tried, max_conditions)
+                    covered = cls._covers(x, rule)
                 if not rule or (covered & ~y).any() or not (covered & live).any():
                     break  # not pure on all rows seen: better no rule
                 rules.append(([(names[j], op, at) for j, op, at in rule], str(kind)))
@@ -196,25 +222,72 @@ class DecisionList:
         return F.lit(otherwise) if out is None else out.otherwise(otherwise)
 
 
-def flag_repetitive(df: DataFrame, keys: list[str], text: str, share: float = 0.4, sample_rows: int = 20_000) -> DataFrame:
-    """Rows whose share of words in repeated 3-word runs is at least ``share``.
-
-    Statistics are measured for every row.  At most ``sample_rows`` of them,
-    chosen by hash of the keys, are labelled by the definition and fit the list;
-    its expression then classes all rows as 'repetitive', 'clean' or (between
-    the outermost rows seen of both) 'unsure', and the measured share decides all
-    that are not 'clean'.  Since one threshold on ``share_3`` separates the labels
-    and thresholds stand on seen rows, 'clean' never reaches up to ``share``.
+def proven(rules: DecisionList, share: float) -> DecisionList:
+    """The list, each rule narrowed to the part whose class its conditions prove; what it covers beyond is 'unsure'.
 
-    Returns ``keys``, ``STATS`` and ``verdict``.  Null, empty and wordless texts
-    are clean.  Repeated rows give repeated results.
+    'clean' is proven by a condition that holds a bound from above under ``share``,
+    'repetitive' by one that holds a bound from below at ``share`` or over it.
     """
-    stats = cut(repetition_stats(df, keys, text))
+    out = []
+    under = float(np.nextafter(share, 0.0))
+    for conditions, kind in rules.rules:
+        for k, (name, op, at) in enumerate(conditions):
+            if kind == "clean" and name in ABOVE and op == "<=":
+                out.append(([*conditions[:k], (name, op, min(at, under)), *conditions[k + 1 :]], kind))
+            elif kind == "repetitive" and name in BELOW and op == ">=":
+                out.append(([*conditions[:k], (name, op, max(at, share)), *conditions[k + 1 :]], kind))
+        out.append((conditions, "unsure"))
+    return DecisionList(out)
+
+
+def learn(df: DataFrame, keys: list[str], text: str, share: float, sample_rows: int) -> DecisionList:
+    """The decision list of a corpus, from at most ``sample_rows`` labelled documents."""
     # a threshold on the hash, so that no task sends the driver more than its share
-    part = sample_rows / max(1, stats.count())
-    near = stats if part >= 1 else stats.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(0.95 * part * (1 << 30)))
-    x = near.select(*STATS).limit(sample_rows).toPandas()[STATS].to_numpy(dtype=np.float64)
-    labels = np.where(x[:, 0] >= share, "repetitive", "clean")
-    rules = DecisionList.fit(x, labels, STATS)
-    out = stats.withColumn("verdict", rules.column("unsure"))
-    return out.where((F.col("verdict") != "clean") & (F.col("share_3") >= share))
+    part = sample_rows / max(1, df.count())
+    near = df if part >= 1 else df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < int(0.95 * part * (1 << 30)))
+    labelled = exact_shares(counted(near, keys, text), [*keys, *STATS], "_text")
+    got = labelled.select(*STATS, "share").limit(sample_rows).toPandas()
+    x = got[STATS].to_numpy(dtype=np.float64)
+    return DecisionList.fit(x, np.where(got["share"].to_numpy() >= share, "repetitive", "clean"), STATS, first={"clean": ABOVE, "repetitive": BELOW})
+
+
+def judged(df: DataFrame, keys: list[str], text: str, rules: DecisionList, share: float = 0.4) -> DataFrame:
+    """``keys``, ``_text`` and ``verdict`` of each document by the list: 'repetitive', 'clean' or 'unsure'."""
+    return counted(df, keys, text).withColumn("verdict", proven(rules, share).column("unsure")).select(*keys, "_text", "verdict")
+
+
+def flag_repetitive(df: DataFrame, keys: list[str], text: str, share: float = 0.4, sample_rows: int = 20_000, rules: DecisionList | None = None) -> DataFrame:
+    """Documents whose share of words in repeated 3-word runs is at least ``share``.
+
+    Counts of every document are Spark expressions; none is the share itself.  At
+    most ``sample_rows`` documents, chosen by hash of the keys, are labelled by
+    walking through them, and a decision list over the counts is fitted to these.
+    Its ordered expression then settles the documents that a rule covers whose
+    class the counts prove ('repetitive' or 'clean'); the others are 'unsure',
+    and only their texts are walked through.  So the list decides which documents
+    are examined, and a rule that errs beyond its sample can't lose or invent one.
+
+    Returns ``keys`` and ``verdict`` ('repetitive' by the list, 'examined' by the
+    walk).  Null, empty and wordless texts are clean.  Repeated rows give repeated
+    results; an empty table gives none.
+    """
+    df = df.select(*keys, text)
+    rules = learn(df, keys, text, share, sample_rows) if rules is None else rules
+    rows = judged(df, keys, text, rules, share).where("verdict <> 'clean'")
+    out = T.StructType([*[df.schema[k] for k in keys], T.StructField("verdict", T.StringType())])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        for b in batches:
+            keep, name = [], []
+            for i, (t, v) in enumerate(zip(b.column(len(keys)).to_pylist(), b.column(len(keys) + 1).to_pylist(), strict=True)):
+                if v == "unsure":
+                    w = words(t) if t else []
+                    if not w or repeated_words(w) < share * len(w) - 1e-9:
+                        continue
+                keep.append(i)
+                name.append("repetitive" if v == "repetitive" else "examined")
+            yield pa.RecordBatch.from_arrays([*[c.take(pa.array(keep, pa.int64())) for c in b.columns[: len(keys)]], pa.array(name, pa.string())], names=[*keys, "verdict"])
+
+    # settled ones need no text
+    return rows.select(*keys, F.when(F.col("verdict") == "unsure", F.col("_text")).alias("_text"), "verdict").mapInArrow(walk, out)

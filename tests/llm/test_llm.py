@@ -66,16 +66,35 @@ TEXTS = [None, "", " \n ", "... !!", "a b c a b c", "A, b c! a b C", "a a a a",
 def test_repeated_share(spark):
     rnd = random.Random(2)
     texts = TEXTS + [" ".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 40))) for _ in range(80)]
-    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "id int, text string, share_3 int")
-    got = {r["id"]: r["share_3"] for r in R.repetition_stats(df, ["id"], "text").collect()}
-    assert all(abs(got[i] - brute_share(t)) < 1e-12 for i, t in enumerate(texts))
-    found = {r["id"] for r in R.flag_repetitive(df, ["id"], "text").collect()}
-    assert found == {i for i, t in enumerate(texts) if brute_share(t) >= 0.4}
-    # fitted on a few rows only, it still misses none
-    assert {r["id"] for r in R.flag_repetitive(df, ["id"], "text", sample_rows=10).collect()} == found
+    # equal without letter case in one way of folding only; letters that an older Unicode doesn't have
+    texts += ["Straße STRASSE strasse x " * 3, "ΑΣ ας ασ " * 2, "İ i̇ I ı k " * 3, "\U0001e4d0 \U0001e4d1 \U0001e4d0 " * 3, "a\x1cb\x85c\u3000a\xa0b c", "a-b ab A.B! c ab"]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "id int, text string, top_1 int")
+    want = [brute_share(t) for t in texts]
+    got = {r["id"]: r["share"] for r in R.exact_shares(df, ["id"], "text").collect()}
+    assert all(abs(got[i] - x) < 1e-12 for i, x in enumerate(want))
+    # the counts bound the share
+    for r in R.counted(df, ["id"], "text").collect():
+        assert r["low_3"] - 1e-9 <= want[r["id"]] <= min(r[c] for c in R.ABOVE) + 1e-9, texts[r["id"]]
+    over = {i for i, x in enumerate(want) if x >= 0.4}
+    found = lambda **x: {r["id"] for r in R.flag_repetitive(df, ["id"], "text", **x).collect()}
+    assert found() == over
+    # fitted on a few rows only, or not at all, it still misses none and invents none
+    assert found(sample_rows=10) == over == found(rules=R.DecisionList([]))
+    # a rule that is wrong doesn't lose anything either
+    assert found(rules=R.DecisionList([([("n_words", ">=", 1.0)], "clean"), ([("top_2", "<=", 0.9)], "clean")])) == over
     assert R.flag_repetitive(df.where("false"), ["id"], "text").count() == 0
 
 
+def test_the_list_decides_which_texts_are_walked_through(spark):
+    rnd = random.Random(3)
+    texts = [" ".join(f"w{rnd.randint(0, 400)}" for _ in range(60)) for _ in range(150)] + ["so it goes on and " * rnd.randint(3, 9) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    rules = R.learn(df, ["id"], "text", 0.4, 1000)
+    n = {r["verdict"]: r["count"] for r in R.judged(df, ["id"], "text", rules).groupBy("verdict").count().collect()}
+    assert n["clean"] >= 140 and n["repetitive"] >= 35 and n.get("unsure", 0) <= 15
+    assert {r["verdict"] for r in R.judged(df, ["id"], "text", R.DecisionList([])).collect()} == {"unsure"}
+
+
 def test_decision_list_learns_conjunctions(spark):
     rnd = np.random.default_rng(3)
     x = rnd.random((600, 3))
