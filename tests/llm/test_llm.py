@@ -296,15 +296,65 @@ def _samples():
     return [(r["lang"], r["sample"]) for r in pq.read_table(f"{DATA}/lang_samples.parquet").to_pylist()]
 
 
+def read_whole(model, text):
+    counts, sums = G.Reader(model).runs(text)
+    return model.langs[int(model.by_language(sums.sum(axis=0)).argmax())]
+
+
 def test_held_out_sentences():
     s = _samples()
     model = G.WordModel([x for i, x in enumerate(s) if i % 4])
-    seg, right = G.Segmenter(model), 0
     test = [x for i, x in enumerate(s) if i % 4 == 0]
-    for lang, text in test:
-        best = max(seg.segments(text), key=lambda x: x[1])
-        right += model.langs[int(best[2].argmax())] == lang
-    assert right / len(test) >= 0.97
+    assert sum(read_whole(model, text) == lang for lang, text in test) / len(test) >= 0.97
+
+
+def test_confidence_is_calibrated_on_held_out_sentences():
+    tried = G.trials(_samples())
+    weight, damp = G.tempered(tried)
+    assert weight < 1 and G.calibration_error(tried, weight, damp) < 0.02
+    assert len({round(c, 4) for _, c, _ in G._confidences(tried, weight, damp)}) > 20
+    assert G.tempered([]) == (1.0, 0.0)
+
+
+def test_runs_hold_all_evidence():
+    s = _samples()
+    model = G.WordModel(s)
+    by = defaultdict(list)
+    for lang, text in s:
+        by[lang].append(text)
+    text = " ".join(by["en"][:3] + by["hi"][:2] + ["x" * 300] + by["es"][:3])
+    reader = G.Reader(model)
+    counts, sums = reader.runs(text)
+    scores = reader.scores(text)
+    assert counts.sum() == len(scores) and np.allclose(sums.sum(axis=0), scores.sum(axis=0))
+    assert scores.min() >= -G.STRAY - 0.001 and scores.max() == 0
+    got = [model.langs[int(p.argmax())] for _, _, p in G.Fuser(model).passages(counts, sums, np.zeros(len(model.langs)))]
+    assert got == ["en", "hi", "es"]
+    assert G.Fuser(model).passages(*reader.runs(None), np.zeros(len(model.langs))) == []
+
+
+def test_only_the_address_or_the_label_tells(spark):
+    # two languages that share a sentence; it is in the one that its address, or its label, speaks for
+    shared, own = "one two three four five six", {"a": "alpha beta gamma delta omega sigma", "b": "uno dos tres cuatro cinco seis"}
+    samples = spark.createDataFrame([(x, t) for x in "ab" for t in (shared, own[x], own[x])], "lang string, sample string")
+    site = {"a": "https://x.example/a", "b": "https://y.example/b"}
+    docs = [(i, own[x], None, site[x]) for i, x in enumerate("ab" * 30)]
+    docs += [(100, shared, None, site["a"]), (101, shared, None, site["b"]), (102, shared, None, "https://x.example/new"), (103, shared, None, "https://y.example/new")]
+    kind = "id long, text string, label string, url string"
+    got = {r["id"]: r for r in G.detect_passages(spark.createDataFrame(docs, kind), "id", "text", "label", "url", samples).collect()}
+    assert [got[i]["lang"] for i in range(100, 104)] == ["a", "b", "a", "b"]
+    assert 0.5 < got[102]["confidence"] < got[100]["confidence"] < 1 and len(got) == len(docs)
+    docs = [(i, own[x], x.upper(), None) for i, x in enumerate("ab" * 30)] + [(100, shared, "A", None), (101, shared, "B", None)]
+    got = {r["id"]: r["lang"] for r in G.detect_passages(spark.createDataFrame(docs, kind), "id", "text", "label", "url", samples).collect()}
+    assert [got[i] for i in (100, 101)] == ["a", "b"]
+
+
+def test_priors_move_a_border():
+    model = G.WordModel([("a", "one two three four five"), ("b", "one two three four five"), ("a", "alpha beta gamma delta"), ("b", "uno dos tres cuatro"), ("c", "red green blue black")])
+    fuser, sums = G.Fuser(model, passage=1), np.array([[-20.0, -20.0, 0.0], [0.0, -0.5, -20.0], [-20.0, -20.0, 0.0]])
+    names = lambda prior: [model.langs[int(p.argmax())] for _, _, p in fuser.passages(np.array([5, 5, 5]), sums, np.log(prior))]
+    assert [v[0] for v in model.variants] == ["a", "b", "c"]
+    assert names([0.4, 0.2, 0.4]) == ["c", "a", "c"] and names([0.05, 0.55, 0.4]) == ["c", "b", "c"]
 
 
 def test_passages_and_cases(spark):
