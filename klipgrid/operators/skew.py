@@ -24,20 +24,32 @@ def heavy_keys(df: DataFrame, key: list[str], share: float) -> DataFrame:
     )
 
 
-def join_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner", heavy_share: float = 1 / 512) -> DataFrame:
+def hot_values(df: DataFrame, key: str, share: float = 1 / 512) -> list:
+    """Non-null values of ``key`` that more than ``share`` of the rows have: at most ``1 / share`` of them."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.orderBy(F.desc("_n")).limit(int(1 / share)).collect()
+    if not top:
+        return []
+    least = df.count() * share
+    return [r[key] for r in top if r["_n"] > least]
+
+
+def join_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner", heavy_share: float = 1 / 512, hot: list | None = None) -> DataFrame:
     """``many`` joined to ``one``, in which ``key`` is unique, when some keys hold much of ``many``.
 
-    Rows of ``one`` for the heavy keys, of which there are at most
+    Rows of ``one`` for the hot keys, of which there are at most
     ``1 / heavy_share``, are broadcast; all other rows meet by hash.  So no task
     gets more than about ``heavy_share`` of ``many``, however hot a key is.
-    ``how`` is 'inner' or 'left'; null keys meet nothing.
+    ``how`` is 'inner' or 'left'; null keys meet nothing.  ``hot`` are the hot
+    values if they are known; ``many`` should be a written table, as it is read for
+    each part.
     """
-    hot = cut(heavy_keys(many.where(F.col(key).isNotNull()), [key], heavy_share).select(key))
-    marked = many.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    top = F.broadcast(one.join(F.broadcast(hot), key, "left_semi"))
-    fast = marked.where("_hot").drop("_hot").join(top, key, how)
-    rest = marked.where("_hot is null").drop("_hot").join(one, key, how)
-    return fast.unionByName(rest)
+    hot = hot_values(many, key, heavy_share) if hot is None else hot
+    if not hot:
+        return many.join(one, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    fast = many.where(is_hot).join(F.broadcast(one.where(is_hot)), key, how)
+    return fast.unionByName(many.where(~is_hot).join(one, key, how))
 
 
 def salted_distinct_count(df: DataFrame, key: list[str], name: str = "n", heavy_share: float = 1 / 512) -> DataFrame:
