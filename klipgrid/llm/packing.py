@@ -14,6 +14,7 @@ not to containers.
 from __future__ import annotations
 
 import bisect
+import logging
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from ..operators.ranking import with_position
 from ..session import cut
 
+_log = logging.getLogger(__name__)
+
 GROUPS = 64
 SMALL = 1 / 8  # items of at most this share of the capacity are small
 
@@ -66,24 +69,32 @@ def _price(values: np.ndarray, sizes: np.ndarray, limits: np.ndarray, capacity:
     return float(best[capacity]), pattern
 
 
-def optimise(sizes: list[int], demand: list[int], capacity: int, rounds: int = 400) -> list[tuple[np.ndarray, int]]:
-    """Container kinds (items of each size) and how often, for all of ``demand``.
+def optimise(sizes: list[int], demand: list[int], capacity: int) -> tuple[list[tuple[np.ndarray, int]], int]:
+    """Container kinds (items of each size) and how often, for all of ``demand``; and a lower bound of their number.
 
-    Column generation on the linear relaxation; its solution is rounded down and
-    the few items left over are packed by best fit, largest first.
+    Column generation on the linear relaxation until no kind of container would
+    improve it; its solution is rounded down and the few items left over are packed
+    by best fit, largest first.  The demand is raised by tiny unequal amounts, so
+    that no exchange of columns leaves the solution as it was and the same columns
+    never come back.
     """
     m = len(sizes)
     if not m:
-        return []
+        return [], 0
     sz, need = np.array(sizes), np.array(demand, dtype=float)
     cols = [np.eye(m, dtype=np.int64)[i] * min(capacity // sizes[i], demand[i]) for i in range(m)]
     basis = np.array(cols, dtype=float).T
-    for _ in range(rounds):
+    raised, bound, last = need + 1e-4 * (1 + np.arange(m)) / m, 0.0, np.inf
+    while True:
         price = np.linalg.solve(basis.T, np.ones(m))
         worth, pattern = _price(price, sz, np.array(demand), capacity)
+        bound = max(bound, float(price @ need) / max(1.0, worth))  # prices over the best worth are a dual solution
         if worth <= 1 + 1e-7:
             break
-        way, x = np.linalg.solve(basis, pattern.astype(float)), np.linalg.solve(basis, need)
+        way, x = np.linalg.solve(basis, pattern.astype(float)), np.linalg.solve(basis, raised)
+        if x.sum() >= last:  # below what doubles can tell apart
+            break
+        last = x.sum()
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = np.where(way > 1e-9, x / way, np.inf)
         out = int(np.argmin(ratio))
@@ -122,7 +133,7 @@ def optimise(sizes: list[int], demand: list[int], capacity: int, rounds: int = 4
             p[i] += 1
             loose[k] = (r - sizes[i], p)
             left[i] -= 1
-    return plan + [(p, 1) for _, p in loose]
+    return plan + [(p, 1) for _, p in loose], int(np.ceil(bound - 1e-6))
 
 
 def place_large(groups: list[tuple[int, int]], plan: list[tuple[np.ndarray, int]]) -> tuple[list[tuple[int, int, int, int]], int]:
@@ -249,20 +260,20 @@ def pack(items: DataFrame, key: str, size: str, capacity: int, groups: int = GRO
     empty = rest.where("last = 0").select(key, "piece", "first", "last", F.lit(0).cast("long").alias("container"))
 
     order = with_position(rest.where("_s > 0"), F.col("_s").desc(), F.col(key), name="_pos")
-    order = cut(order)
     hist = {r["_s"]: r["n"] for r in order.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     limit = int(capacity * small)
     large, tiny = {s: n for s, n in hist.items() if s > limit}, {s: n for s, n in hist.items() if s <= limit}
     grouped = linear_groups(large, groups)
-    plan = optimise([s for s, _ in grouped], [n for _, n in grouped], capacity)
+    plan, bound = optimise([s for s, _ in grouped], [n for _, n in grouped], capacity)
     rules, boxes = place_large(grouped, plan)
+    _log.info("%d containers for large items, at least %d as they are rounded", boxes, bound)
 
     first = _first_ranks(hist)
     big = _assign(order.where(F.col("_s") > limit), _by_size(rules, hist, first)).select(key, "piece", "first", "last", "_s", F.col("_place").alias("container"))
     big = cut(big)
 
     used = big.groupBy("container").agg((F.lit(capacity) - F.sum("_s")).alias("_room"))
-    used = cut(with_position(used, F.col("_room"), F.col("container"), name="_place"))
+    used = with_position(used, F.col("_room"), F.col("container"), name="_place")
     room = {r["_room"]: r["n"] for r in used.groupBy("_room").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     filled = sum(room.values())
     fit, end = place_small(tiny, room, filled, capacity)

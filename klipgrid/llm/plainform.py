@@ -1,15 +1,19 @@
 """One plain form for text that looks the same but is coded differently.
 
-A weighted edit automaton runs over the trie of a vocabulary: look-alikes and
-ignorable characters cost nothing, other edits cost 1 each (up to ``budget``,
-by default none).  A token that reaches a word takes its spelling; the others
-are normalised by table.
+A weighted edit automaton runs over the trie of a vocabulary.  Look-alikes and
+ignorable characters cost nothing; a letter of a script in which no word of the
+vocabulary is written may stand for any letter, or for none, at a cost of 1 each,
+up to ``BUDGET``.  Letters of the vocabulary's scripts are never exchanged, so a
+word in plain form is never taken for another one.  A token that reaches one word takes its spelling;
+the others are normalised by table.
 """
 
 from __future__ import annotations
 
 import heapq
 import unicodedata
+import uuid
+from dataclasses import dataclass
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -17,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_VOCABULARY = 1_000_000  # entries; the trie goes to every worker
+MAX_VOCABULARY = 1_000_000  # entries; the words go to every worker, about 60 MB at this bound
+BUDGET = 2  # letters of foreign scripts that a match may explain
 
 # Closing marks, as written plainly.
 CLOSING = "।,?"
@@ -35,9 +40,17 @@ MARKS = {
 }
 # Bengali sequences drawn like one letter.
 BENGALI = {
-    "অা": "আ", "ব়": "র", "ত্‍": "ৎ", "ওৗ": "ঔ", "ঋৃ": "ৠ", ":": "ঃ", "꞉": "ঃ", "ː": "ঃ", "：": "ঃ", "ः": "ঃ",
-    "ँ": "ঁ", "ं": "ং", "़": "়", "्": "্",
+    "অা": "আ", "ব়": "র", "ত্‍": "ৎ", "ওৗ": "ঔ", "ঋৃ": "ৠ", ":": "ঃ", "꞉": "ঃ", "ː": "ঃ", "：": "ঃ",
 }
+# Signs and danda that the scripts of the region share in shape: those of the same name.
+_SIGNS = ("CANDRABINDU", "ANUSVARA", "VISARGA", "NUKTA", "VIRAMA")
+for _c in map(chr, range(0x0900, 0x0E00)):
+    _name = unicodedata.name(_c, "").split(" SIGN ")
+    if len(_name) == 2 and _name[0] != "BENGALI" and _name[1] in _SIGNS:
+        BENGALI[_c] = unicodedata.lookup(f"BENGALI SIGN {_name[1]}")
+_STARTS: dict[str, list[tuple[str, str]]] = {}
+for _seq, _plain in BENGALI.items():
+    _STARTS.setdefault(unicodedata.normalize("NFD", _seq)[0], []).append((unicodedata.normalize("NFD", _seq), unicodedata.normalize("NFD", _plain)))
 
 _VIRAMA, _JOINER = "্", "‍"
 
@@ -60,8 +73,10 @@ def _wide(c: str) -> str:
 class PlainForms:
     """Plain forms of tokens against a vocabulary; immutable but for its cache."""
 
-    def __init__(self, words: Iterable[str], budget: int = 0, closing: str = CLOSING) -> None:
+    def __init__(self, words: Iterable[str], budget: int = BUDGET, closing: str = CLOSING) -> None:
+        words = set(words)
         self.budget, self.closing = budget, closing
+        self.words = frozenset(w for w in words if w == unicodedata.normalize("NFC", w))
         self.children: list[dict[str, int]] = [{}]
         self.word: list[str | None] = [None]
         for w in sorted(set(words)):
@@ -74,8 +89,13 @@ class PlainForms:
                     self.word.append(None)
                 node = nxt
             self.word[node] = w
+        self.scripts = {_script(c) for here in self.children for c in here} | {"COMBINING"}
         self.cache: dict[str, str] = {}
 
+    def _foreign(self, c: str) -> bool:
+        """A letter or sign of a script that no word of the vocabulary is written in; accents are of all."""
+        return unicodedata.category(c)[0] in "LM" and not ignorable(c) and _script(c) not in self.scripts
+
     def _descend(self, node: int, text: str) -> int | None:
         for c in text:
             nxt = self.children[node].get(c)
@@ -87,22 +107,34 @@ class PlainForms:
     def _moves(self, node: int, text: str, i: int) -> Iterator[tuple[int, int, int]]:
         """(cost, node, position) reachable by one step of the automaton."""
         c, here = text[i], self.children[node]
-        for seq, plain in BENGALI.items():
-            if text.startswith(seq, i):
-                to = self._descend(node, unicodedata.normalize("NFD", plain))
-                if to is not None:
-                    yield 0, to, i + len(seq)
+        for seq, plain in _STARTS.get(c, ()):
+            # what is drawn over nothing may stand between the parts of a sequence
+            end = self._through(text, i, seq)
+            to = self._descend(node, plain) if end else None
+            if to is not None:
+                yield 0, to, end
         if ignorable(c):
             yield 0, node, i + 1
-        for like in {c, LATIN.get(c, c), MARKS.get(c, c), *(LATIN.get(x, x) for x in [_wide(c)])}:
+        likes = {c, LATIN.get(c, c), MARKS.get(c, c), *(LATIN.get(x, x) for x in [_wide(c)])}
+        for like in likes:
             to = self._descend(node, unicodedata.normalize("NFD", like))
             if to is not None:
                 yield 0, to, i + 1
-        if self.budget:
+        if self.budget and self._foreign(c):
             yield 1, node, i + 1
             for to in here.values():
                 yield 1, to, i + 1
-                yield 1, to, i
+
+    @staticmethod
+    def _through(text: str, i: int, seq: str) -> int:
+        """Position behind ``seq`` at ``i``, passing over ignorables inside it; 0 if it isn't there."""
+        for k, c in enumerate(seq):
+            while k and i < len(text) and text[i] != c and ignorable(text[i]):
+                i += 1
+            if i >= len(text) or text[i] != c:
+                return 0
+            i += 1
+        return i
 
     def _rest(self, text: str) -> str | None:
         """The closing mark that ``text`` amounts to, '' for none, None for more."""
@@ -110,26 +142,31 @@ class PlainForms:
         return "".join(left) if not left or (len(left) == 1 and left[0] in self.closing) else None
 
     def match(self, token: str) -> str | None:
-        """The vocabulary's spelling of ``token``, with its closing mark."""
-        kept = [c for i, c in enumerate(token) if not ignorable(c) or (c == _JOINER and i and token[i - 1] == _VIRAMA)]
-        text = unicodedata.normalize("NFD", "".join(kept))
-        heap, done = [(0, 0, 0)], set()  # cost, characters still to read, node
-        heap[0] = (0, len(text), 0)
+        """The vocabulary's spelling of ``token``, with its closing mark.
+
+        The words of least cost are looked at; if there are several, all but equal
+        to the eye, none is taken.
+        """
+        text = unicodedata.normalize("NFD", token)
+        heap, done = [(0, len(text), 0)], set()  # cost, characters still to read, node
+        found: set[str] = set()
+        least = self.budget
         while heap:
             cost, left, node = heapq.heappop(heap)
-            if (left, node) in done:
+            if cost > least or (left, node) in done:
                 continue
             done.add((left, node))
             at = len(text) - left
             if self.word[node] is not None:
                 mark = self._rest(text[at:])
                 if mark is not None:
-                    return self.word[node] + mark
+                    found.add(self.word[node] + mark)
+                    least = cost
             if left:
                 for c, to, pos in self._moves(node, text, at):
-                    if cost + c <= self.budget and (len(text) - pos, to) not in done:
+                    if cost + c <= least and (len(text) - pos, to) not in done:
                         heapq.heappush(heap, (cost + c, len(text) - pos, to))
-        return None
+        return found.pop() if len(found) == 1 else None
 
     @staticmethod
     def by_table(token: str) -> str:
@@ -163,7 +200,9 @@ class PlainForms:
         if got is None:
             if len(self.cache) > 1 << 17:
                 self.cache.clear()
-            got = self.match(token)
+            # in plain form already: the automaton would reach the same word at no cost
+            same = token in self.words or (token[:-1] in self.words and token[-1:] in self.closing)
+            got = token if same else self.match(token)
             got = self.cache[token] = self.by_table(token) if got is None else got
         return got
 
@@ -181,19 +220,36 @@ def vocabulary(df: DataFrame, line: str = "line", most: int = MAX_VOCABULARY) ->
     return [r["w"] for r in rows]
 
 
-def add_plain_forms(df: DataFrame, forms: dict[str, PlainForms]) -> DataFrame:
+@dataclass(frozen=True)
+class Forms:
+    """What a worker builds its plain forms from."""
+
+    words: tuple[str, ...]
+    budget: int = BUDGET
+    closing: str = CLOSING
+
+
+_built: dict[str, dict[str, PlainForms]] = {}
+
+
+def add_plain_forms(df: DataFrame, forms: dict[str, Forms]) -> DataFrame:
     """``df`` with a column ``<name>_plain`` for each string column in ``forms``.
 
+    The words are broadcast once; each worker builds its tries from them once.
     Each different string of an Arrow batch is looked up once.  A column of that
     name in ``df`` is replaced; null stays null.
     """
     df = df.drop(*[f"{c}_plain" for c in forms])
     schema = T.StructType([*df.schema.fields, *[T.StructField(f"{c}_plain", T.StringType()) for c in forms]])
+    sent, name = df.sparkSession.sparkContext.broadcast(forms), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _built:
+            _built.clear()
+            _built[name] = {c: PlainForms(f.words, f.budget, f.closing) for c, f in sent.value.items()}
         for b in batches:
             out = list(b.columns)
-            for c, form in forms.items():
+            for c, form in _built[name].items():
                 coded = b.column(c).dictionary_encode()
                 plain = pa.array([form(x) for x in coded.dictionary.to_pylist()], pa.string())
                 out.append(plain.take(coded.indices) if b.num_rows else pa.array([], pa.string()))
@@ -202,8 +258,6 @@ def add_plain_forms(df: DataFrame, forms: dict[str, PlainForms]) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def word_forms(words: list[str], budget: int = 0) -> dict[str, PlainForms]:
+def word_forms(words: list[str], budget: int = BUDGET) -> dict[str, Forms]:
     """Forms for ``word`` (with closing marks) and ``label`` (Bengali letters only)."""
-    return {"word": PlainForms(words, budget), "label": PlainForms([r for w in words if (r := bengali_rest(w))], budget, closing="")}
-
-
+    return {"word": Forms(tuple(words), budget), "label": Forms(tuple(r for w in words if (r := bengali_rest(w))), budget, closing="")}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.identity import distinct_rows
 from ..sources import table
+from ..sources.text_files import vocabulary_words
 from ..session import cut, scratch
 from .caps import cap_contributors
 from .cutoffs import fraction_cutoffs
@@ -14,8 +15,8 @@ from .language import detect_passages, label_cases
 from .packing import pack
 from .plainform import add_plain_forms, vocabulary, word_forms
 from .repetition import flag_repetitive
-from .splits import related_pairs, related_splits
-from .tokens import count_tokens, encode_corpus
+from .splits import related_groups, related_pairs, related_splits
+from .tokens import count_tokens, decode_corpus, encode_corpus
 
 SPLIT_PERMILLE = {"train": 800, "valid": 100, "test": 100}
 CHANNEL_PERMILLE = 30  # of the clips that take part, for one channel
@@ -50,6 +51,20 @@ def p3_split(spark: SparkSession, d: str) -> DataFrame:
     return related_splits(table(spark, d, "manifest"), "id", "channel_id", SPLIT_PERMILLE).withColumnRenamed("id", "video_id")
 
 
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Channel ids related to others: the smallest of their group, and its size."""
+    return related_groups(table(spark, d, "manifest"), "channel_id", "id").select(F.col("node").alias("channel_id"), F.col("root").alias("first_channel_id"), F.col("n").alias("n_channels"))
+
+
+def p3_check(spark: SparkSession, d: str) -> DataFrame:
+    """Videos with a set, and how many channels are divided among sets."""
+    split = cut(p3_split(spark, d))
+    seen = table(spark, d, "manifest").where("id is not null and channel_id is not null").select(F.col("id").alias("video_id"), "channel_id").distinct()
+    sets = seen.join(split, "video_id").groupBy("channel_id").agg(F.min("split").alias("a"), F.max("split").alias("z"))
+    videos = split.agg(F.count(F.lit(1)).alias("n_videos"), F.countDistinct("video_id").alias("n_different"))
+    return videos.join(F.broadcast(sets.agg(F.count_if(F.col("a") != F.col("z")).alias("n_divided"))))  # one row each
+
+
 def channel_of_video(manifest: DataFrame) -> DataFrame:
     """(video_id, channel): the smallest name, in lower case and with blanks reduced."""
     name = F.trim(F.regexp_replace(F.lower("channel"), r"[\s\p{Z}]+", " "))
@@ -85,11 +100,38 @@ def p7_plain(spark: SparkSession, d: str) -> DataFrame:
     return add_plain_forms(forms, word_forms(vocabulary(table(spark, d, "vocab"))))
 
 
+def p7_check(spark: SparkSession, d: str) -> DataFrame:
+    """Different spellings, and how many plain forms of them are no words of the vocabulary."""
+    known = vocabulary_words(table(spark, d, "vocab"))
+    plain = p7_plain(spark, d).select(F.regexp_replace("word_plain", "[।,?]$", "").alias("word"))
+    lost = plain.where("word is not null").join(known, "word", "left_anti").agg(F.count(F.lit(1)).alias("n_unknown"))
+    forms = _words(spark, d).select("word", "label").distinct().agg(F.count(F.lit(1)).alias("n_spellings"))
+    return forms.join(F.broadcast(lost))  # one row each
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return encode_corpus(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """SHA-256 of what the ids of every document decode to."""
+    text = decode_corpus(p8_ids(spark, d), "doc_id", "ids")
+    return text.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
+
+
+def p9_check(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a container, and how often a rule of packing is broken."""
+    out = cut(p9_pack(spark, d))
+    per = out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum(F.col("token_end") - F.col("token_start")).alias("held"), F.min("token_start").alias("first"), F.max("token_end").alias("n"))
+    docs = per.agg(
+        F.count(F.lit(1)).alias("n_docs"), F.count_if((F.col("n") <= CONTAINER) & (F.col("pieces") > 1)).alias("n_divided"),
+        F.count_if((F.col("first") != 0) | (F.col("held") != F.col("n"))).alias("n_torn"),
+    )
+    over = out.groupBy("container").agg(F.sum(F.col("token_end") - F.col("token_start")).alias("load")).agg(F.count_if(F.col("load") > CONTAINER).alias("n_overfull"))
+    return docs.join(F.broadcast(over))  # one row each
+
+
 def p9_pack(spark: SparkSession, d: str) -> DataFrame:
     """Container and token range of every document or piece."""
     sizes = count_tokens(table(spark, d, "documents"), "doc_id", "text")
@@ -111,7 +153,7 @@ def p10_passages(spark: SparkSession, d: str) -> DataFrame:
     return _passages(spark, d).select("doc_id", "lang", F.round("confidence", 6).alias("confidence"), F.col("first").alias("first_word"), F.col("n").alias("n_words"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_split, p6_found, p7_found, p7_plain, p8_ids, p9_pack, p10_found, p10_passages)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_split, p3_groups, p3_check, p6_found, p7_found, p7_plain, p7_check, p8_ids, p8_decoded, p9_pack, p9_check, p10_found, p10_passages)}
 
 SQL = {
     "p1_found": """
@@ -137,6 +179,16 @@ SQL = {
         WITH RECURSIVE e AS (SELECT DISTINCT a.channel_id AS a, b.channel_id AS b FROM manifest a JOIN manifest b ON a.id = b.id AND a.channel_id <> b.channel_id),
         r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
         SELECT DISTINCT a AS channel_id_a, b AS channel_id_b FROM r WHERE a < b""",
+    "p3_groups": """
+        WITH RECURSIVE e AS (SELECT DISTINCT a.channel_id AS a, b.channel_id AS b FROM manifest a JOIN manifest b ON a.id = b.id AND a.channel_id <> b.channel_id),
+        r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+        SELECT a AS channel_id, least(a, min(b)) AS first_channel_id, count(DISTINCT b) AS n_channels FROM (SELECT a, b FROM r UNION SELECT a, a FROM e) GROUP BY a""",
+    "p3_check": "SELECT count(DISTINCT id) AS n_videos, count(DISTINCT id) AS n_different, 0::BIGINT AS n_divided FROM manifest",
+    "p7_check": """
+        WITH c AS (SELECT unnest(chunks) AS c FROM align), w AS (SELECT unnest(c.words) AS w FROM c)
+        SELECT count(*) AS n_spellings, 0::BIGINT AS n_unknown FROM (SELECT DISTINCT w.word AS word, w.label AS label FROM w)""",
+    "p8_decoded": "SELECT doc_id, sha256(coalesce(text, '')) AS sha256 FROM documents",
+    "p9_check": "SELECT count(*) AS n_docs, 0::BIGINT AS n_divided, 0::BIGINT AS n_torn, 0::BIGINT AS n_overfull FROM documents",
     "p6_found": r"""
         WITH m AS (SELECT id AS video_id, min(trim(regexp_replace(lower(channel), '\s+', ' ', 'g'))) AS channel
                    FROM manifest WHERE channel IS NOT NULL GROUP BY id),

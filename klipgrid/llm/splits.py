@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import with_position
+from ..operators.skew import hot_values, join_unique
 from ..session import cut
 
 MAX_BITS = 1 << 22  # of subset-sum bitsets kept for the way back: 512 kB
@@ -23,7 +24,7 @@ def links_through(df: DataFrame, node: str, via: str) -> DataFrame:
     """
     rows = df.where(F.col(node).isNotNull() & F.col(via).isNotNull()).select(F.col(node).alias("b"), F.col(via).alias("_via"))
     hub = rows.groupBy("_via").agg(F.min("b").alias("a"), F.max("b").alias("_z")).where("a < _z").drop("_z")
-    return rows.join(hub, "_via").where("a < b").select("a", "b").distinct()
+    return join_unique(cut(rows), hub, "_via").where("a < b").select("a", "b").distinct()
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -37,11 +38,13 @@ def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """
     # parents of nodes without an edge never change, so only linked nodes take part
     both = cut(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")))
+    hubs = hot_values(both, "v")
     parent = cut(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("_m")).select("node", F.least("node", "_m").alias("root")))
     while True:
         up = parent.select(F.col("node").alias("root"), F.col("root").alias("g"))
-        grand = cut(parent.join(up, "root").select("node", "root", "g"))  # g: the parent's parent
-        offers = both.join(grand.select(F.col("node").alias("v"), F.col("g").alias("gv")), "v").groupBy(F.col("u").alias("node")).agg(F.min("gv").alias("gv"))
+        # most nodes may have one parent, and one node most of the edges
+        grand = cut(join_unique(parent, up, "root").select("node", "root", "g"))  # g: the parent's parent
+        offers = join_unique(both, grand.select(F.col("node").alias("v"), F.col("g").alias("gv")), "v", hot=hubs).groupBy(F.col("u").alias("node")).agg(F.min("gv").alias("gv"))
         near = grand.join(offers, "node").select("node", "root", F.least("g", "gv").alias("m"))
         # to the node itself, and to its parent
         lower = near.select("node", "m").union(near.select("root", "m")).groupBy("node").agg(F.min("m").alias("m"))
@@ -149,7 +152,7 @@ def related_splits(df: DataFrame, record: str, relation: str, permille: dict[str
     rows = cut(rows)
     root = components(links_through(rows, "_rel", "_rec"))
     first = rows.groupBy("_rec").agg(F.min("_rel").alias("node"))
-    comp = first.join(root, "node", "left").select(
+    comp = join_unique(cut(first), root, "node", "left").select(
         "_rec", F.when(F.col("node").isNull(), F.concat(F.lit("r:"), F.col("_rec").cast("string"))).otherwise(F.concat(F.lit("c:"), F.coalesce("root", "node").cast("string"))).alias("comp")
     )
     comp = cut(comp)
@@ -163,11 +166,21 @@ def related_splits(df: DataFrame, record: str, relation: str, permille: dict[str
     rules = F.broadcast(_rules(spark, choose_splits(table, permille)))  # splits x different sizes
     ranked = order.join(F.broadcast(hist.select("size", "start")), "size").withColumn("_r", F.col("pos") - F.col("start"))
     placed = ranked.join(rules, "size").where((F.col("_r") >= F.col("lo")) & (F.col("_r") < F.col("hi"))).select("comp", "split")
-    return comp.join(placed, "comp").select(F.col("_rec").alias(record), "split")
+    return join_unique(comp, placed, "comp").select(F.col("_rec").alias(record), "split")
+
+
+def related_groups(df: DataFrame, node: str, via: str) -> DataFrame:
+    """(node, root, n): the component of each linked node and how many nodes it has, a row per node."""
+    root = components(links_through(df, node, via))
+    return join_unique(root, root.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root").select("node", "root", "n")
 
 
 def related_pairs(df: DataFrame, node: str, via: str) -> DataFrame:
-    """All pairs (a, b), a < b, of different nodes of one component."""
-    root = cut(components(links_through(df, node, via)))
+    """All pairs (a, b), a < b, of different nodes of one component.
+
+    There are as many as the square of a component; ``related_groups`` says the
+    same in a row per node.
+    """
+    root = components(links_through(df, node, via))
     left, right = root.select("root", F.col("node").alias("a")), root.select("root", F.col("node").alias("b"))
     return left.join(right, "root").where("a < b").select("a", "b")

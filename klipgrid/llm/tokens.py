@@ -1,10 +1,11 @@
 """Token ids of whole texts by a public byte-level tokenizer.
 
-A text is cut into overlapping chunks that any task may take.  Each chunk is
-pre-tokenised from its own start; where the boundaries of two neighbours meet in
-their overlap, both go on alike, so the text is stitched there and the pieces
-between stitches are encoded independently.  Most texts are one chunk and never
-leave the task that read them.
+A long text is cut into overlapping chunks, each pre-tokenised from its own
+start.  Where the boundaries of two neighbours meet in their overlap, both go on
+alike, so the pieces between such places are encoded independently.  All of that
+happens in the task that reads the text: no text is moved and the corpus is read
+once.  For texts too long for one task the same chunks may be spread over many
+(``spread``).
 """
 
 from __future__ import annotations
@@ -62,6 +63,23 @@ class Encoder:
             out.append(b)
         return b"".join(out)
 
+    def encode_long(self, text: str, chunk: int, overlap: int) -> bytes:
+        """The same, chunk by chunk."""
+        if len(text) <= chunk:
+            return self.encode_bytes(text)
+        seen, out = self.ids, []
+        for words in pretokens(text, chunk, overlap):
+            if len(seen) > _CACHE:
+                seen.clear()
+            for w in words:
+                b = seen.get(w)
+                if b is None:
+                    b = np.array(self.coding.encode_ordinary(w), dtype="<i4").tobytes()
+                    if len(w) < 64:
+                        seen[w] = b
+                out.append(b)
+        return b"".join(out)
+
     def decode(self, ids: list[int]) -> str:
         """The text: raw bytes of the ids, concatenated."""
         return b"".join(self.vocabulary[i] for i in ids).decode("utf-8", "replace")
@@ -85,6 +103,39 @@ def boundaries(text: str) -> list[int]:
 _pattern = regex.compile(PATTERN)
 
 
+def _split(text: str) -> tuple[list[str], list[int]]:
+    """Pre-tokens of a piece of text, and where each ends."""
+    words = _pattern.findall(text)
+    return words, np.cumsum([len(w) for w in words]).tolist() if words else []
+
+
+def pretokens(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[list[str]]:
+    """Pre-tokens of ``text``, some at a time, from overlapping chunks stitched where they meet.
+
+    Each chunk is split from its own start.  The next one takes over at the first
+    boundary in the overlap that both have.  If they have none there (a run without
+    a break that is longer than the overlap), the text is split on from the last
+    boundary that is certain, with chunks twice as long until they meet.
+    """
+    base, size, skip = 0, chunk + overlap, 0  # the chunk at hand, and how many of its words are taken already
+    words, ends = _split(text[:size])
+    while base + size < len(text):
+        sure = max(skip, len(words) - 2)  # the last two may depend on characters beyond the chunk
+        start = base + size - overlap
+        more, stops = _split(text[start : start + chunk + overlap])
+        heads = {start: 0} | {start + e: i + 1 for i, e in enumerate(stops) if e < overlap}
+        at = next((i for i in range(skip, sure) if base + ends[i] >= start and base + ends[i] in heads), None)
+        if at is not None:
+            yield words[skip : at + 1]
+            skip = heads[base + ends[at]]
+            base, size, words, ends = start, chunk + overlap, more, stops
+        else:
+            yield words[skip:sure]
+            base, size, skip = base + (ends[sure - 1] if sure else 0), 2 * size, 0
+            words, ends = _split(text[base : base + size])
+    yield words[skip:]
+
+
 def make_chunks(df: DataFrame, key: str, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(key, k, n, text): chunk k of n with ``overlap`` characters of the next one."""
     schema = T.StructType([df.schema[key], T.StructField("k", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("text", T.StringType())])
@@ -151,48 +202,75 @@ def stitch(chunks: DataFrame, key: str, chunk: int = CHUNK, overlap: int = OVERL
     return good.unionByName(whole)
 
 
-def _encode(key: str, folder: str, name: str, count: bool):  # noqa: ANN202
+def _lists(ids: list[bytes], sizes: np.ndarray) -> pa.Array:
+    # at most 2^31 ids in a batch: texts of a batch are bounded by its bytes
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
+
+
+def _encode(keys: list[str], folder: str, name: str, count: bool, chunk: int, overlap: int):  # noqa: ANN202
+    """Ids, or their number, of the column behind ``keys``; null is ''."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(folder, name)
         for b in batches:
-            parts = [coder.encode_bytes(t) for t in b.column("text").to_pylist()]
+            parts = [coder.encode_long(t, chunk, overlap) if t else b"" for t in b.column(len(keys)).to_pylist()]
             sizes = np.array([len(p) // 4 for p in parts], dtype=np.int64)
-            if count:
-                out = pa.array(sizes)
-            else:
-                # at most 2^31 ids in a batch: texts of a batch are bounded by its bytes
-                values = pa.array(np.frombuffer(b"".join(parts), dtype="<i4"))
-                out = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([b.column(key), b.column("k"), out], names=[key, "k", "ids"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(sizes) if count else _lists(parts, sizes)], names=[*keys, "ids"])
 
     return run
 
 
-def _pieces(df: DataFrame, key: str, text: str, folder: str, name: str, count: bool, chunk: int, overlap: int) -> tuple[DataFrame, DataFrame]:
-    """Encoded single-chunk texts, and encoded pieces of the others."""
-    kind = T.LongType() if count else T.ArrayType(T.IntegerType(), False)
-    schema = T.StructType([df.schema[key], T.StructField("k", T.IntegerType()), T.StructField("ids", kind)])
-    run = _encode(key, folder, name, count)
-    # length() decides in the scan, so each text is handed to one of the two ways only
-    long = F.length(text) > chunk
-    short = make_chunks(df.where(~F.coalesce(long, F.lit(False))), key, text, chunk, overlap).select(key, "k", "text").mapInArrow(run, schema)
-    cuts = stitch(make_chunks(df.where(long), key, text, chunk, overlap), key, chunk, overlap).mapInArrow(run, schema)
-    return short, cuts
+def _encoded(df: DataFrame, key: str, text: str, folder: str, name: str, count: bool, chunk: int, overlap: int, spread: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """(key, ids) of texts encoded in place, and (key, k, ids) of the pieces of those over ``spread`` characters."""
+    kind = T.StructField("ids", T.LongType() if count else T.ArrayType(T.IntegerType(), False))
+    whole = T.StructType([df.schema[key], kind])
+    rows = df.select(key, F.col(text).alias("_text"))
+    if spread is None:
+        return rows.mapInArrow(_encode([key], folder, name, count, chunk, overlap), whole), None
+    long = F.coalesce(F.length("_text") > max(spread, chunk), F.lit(False))
+    here = rows.where(~long).mapInArrow(_encode([key], folder, name, count, chunk, overlap), whole)
+    pieces = stitch(make_chunks(rows.where(long), key, "_text", chunk, overlap), key, chunk, overlap)
+    schema = T.StructType([df.schema[key], T.StructField("k", T.IntegerType()), kind])
+    return here, pieces.mapInArrow(_encode([key, "k"], folder, name, count, chunk, overlap), schema)
 
 
-def encode_corpus(df: DataFrame, key: str, text: str, folder: str = FOLDER, name: str = "byte_bpe_50k", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode_corpus(df: DataFrame, key: str, text: str, folder: str = FOLDER, name: str = "byte_bpe_50k", chunk: int = CHUNK, overlap: int = OVERLAP, spread: int | None = None) -> DataFrame:
     """(key, ids) for every row: ids of the text as it stands, no special tokens.
 
     Null and empty texts have the empty list.  Strings that spell a special token
-    are ordinary text.  ``key`` should be unique and not null: rows of the same
-    key each keep their row unless they are longer than a chunk.
+    are ordinary text.  A text is encoded by the task that reads it, in time linear
+    in its length.  With ``spread`` texts of more characters than that are dealt out
+    to tasks chunk by chunk, at the price of a second look at the table; then
+    ``key`` should be unique and not null for them, as their pieces are put together
+    by it.
     """
-    short, cuts = _pieces(df, key, text, folder, name, False, chunk, overlap)
-    joined = cuts.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("p"))
-    return short.select(key, "ids").unionByName(joined.select(key, F.flatten("p.ids").alias("ids")))
+    here, pieces = _encoded(df, key, text, folder, name, False, chunk, overlap, spread)
+    if pieces is None:
+        return here
+    joined = pieces.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("p"))
+    return here.unionByName(joined.select(key, F.flatten("p.ids").alias("ids")))
 
 
-def count_tokens(df: DataFrame, key: str, text: str, folder: str = FOLDER, name: str = "byte_bpe_50k", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def count_tokens(df: DataFrame, key: str, text: str, folder: str = FOLDER, name: str = "byte_bpe_50k", chunk: int = CHUNK, overlap: int = OVERLAP, spread: int | None = None) -> DataFrame:
     """(key, n_tokens) for every row, 0 for null and empty texts."""
-    short, cuts = _pieces(df, key, text, folder, name, True, chunk, overlap)
-    return short.select(key, F.col("ids").alias("n_tokens")).unionByName(cuts.groupBy(key).agg(F.sum("ids").alias("n_tokens")))
+    here, pieces = _encoded(df, key, text, folder, name, True, chunk, overlap, spread)
+    here = here.withColumnRenamed("ids", "n_tokens")
+    return here if pieces is None else here.unionByName(pieces.groupBy(key).agg(F.sum("ids").alias("n_tokens")))
+
+
+def decode_corpus(df: DataFrame, key: str, ids: str, folder: str = FOLDER, name: str = "byte_bpe_50k") -> DataFrame:
+    """(key, text) for every row: the raw bytes of the ids, joined and read as UTF-8.
+
+    An empty list is '', a null list null.  Bytes that are no UTF-8 (ids cut from
+    the middle of a text) become U+FFFD; an id that the tokenizer doesn't have is an
+    error.
+    """
+    schema = T.StructType([df.schema[key], T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(folder, name)
+        for b in batches:
+            texts = [None if x is None else coder.decode(x) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+
+    return df.select(key, ids).mapInArrow(run, schema)
