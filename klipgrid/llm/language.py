@@ -380,11 +380,11 @@ def fused_priors(read: DataFrame, langs: list[str]) -> tuple[DataFrame, DataFram
     whole = add(urls, [], "c").select(F.transform("c", lambda x: (x + 1) / (_total(F.col("c")) + k)).alias("w"))
     suffix = add(urls, ["suffix"], "c").join(F.broadcast(whole)).select("suffix", shrunk("c", "w", KAPPA_SUFFIX).alias("ps"))  # one row
     hosts = add(urls, ["suffix", "host"], "c").join(suffix, "suffix").select("host", shrunk("c", "ps", KAPPA_HOST).alias("ph"))
-    prior = urls.join(hosts, "host").select("_url", F.transform(shrunk("c", "ph", KAPPA_URL), lambda x: F.log(x)).alias("prior"))
+    prior = cut(urls.join(hosts, "host").select("_url", F.transform(shrunk("c", "ph", KAPPA_URL), lambda x: F.log(x)).alias("prior")))
     labels = cut(counts(seen.withColumn("_label", _keyed("label")), ["_label"]))
     labels = labels.join(F.broadcast(add(labels, [], "t")))  # one row
     share = _total(F.col("c")) / F.greatest(_total(F.col("t")), F.lit(1.0))
-    return prior, labels.select("_label", F.zip_with("c", "t", lambda x, y: F.log((x + KAPPA_LABEL * share) / (y + KAPPA_LABEL))).alias("evidence"))
+    return prior, cut(labels.select("_label", F.zip_with("c", "t", lambda x, y: F.log((x + KAPPA_LABEL * share) / (y + KAPPA_LABEL))).alias("evidence")))
 
 
 def _fuse(model: WordModel, temper: tuple[float, float], passage: int, key: T.StructField):  # noqa: ANN202
