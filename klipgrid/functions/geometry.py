@@ -69,6 +69,23 @@ def to_clip(p: Column, origin: Column, side: Column, size: int) -> Column:
     return (p - origin) * (F.lit(float(size)) / side)
 
 
+def euler_angles(m: Column) -> tuple[Column, Column, Column]:
+    """(pitch, yaw, roll) in degrees of the rotation in a row-major 4 x 4 (or 3 x 3) matrix.
+
+    Columns are divided by their length first, so a uniform scale changes nothing.
+    At a yaw of 90 degrees pitch and roll turn about one axis; all of it is pitch then.
+    """
+    wide = F.when(F.size(m) == 16, 4).otherwise(3)
+    at = lambda i, j: F.try_element_at(m, (F.lit(i) * wide + j + 1).cast("int")).cast("double")
+    size = [F.sqrt(sum((at(i, j) * at(i, j) for i in range(3)), F.lit(0.0))) for j in range(3)]
+    r = lambda i, j: F.when(size[j] > 0, at(i, j) / size[j])
+    flat = F.sqrt(r(2, 1) * r(2, 1) + r(2, 2) * r(2, 2))
+    locked = flat < 1e-9
+    pitch = F.when(locked, F.atan2(-r(1, 2), r(1, 1))).otherwise(F.atan2(r(2, 1), r(2, 2)))
+    roll = F.when(locked, F.lit(0.0)).otherwise(F.atan2(r(1, 0), r(0, 0)))
+    return F.degrees(pitch), F.degrees(F.atan2(-r(2, 0), flat)), F.degrees(roll)
+
+
 def scale_720(width: Column, height: Column) -> Column:
     """Factor that brings the shorter side to 720."""
     return F.lit(720.0) / F.least(width, height)

@@ -48,6 +48,11 @@ def status_of(message: Column, limited: tuple[str, ...] = RATE_LIMITED, permanen
     return F.when(hit(limited), "rate_limited").when(hit(permanent), "unavailable").otherwise("error")
 
 
+def clipped(c: Column, most: int = 500) -> Column:
+    """A message as a log keeps it: its first ``most`` characters (500 of a fetch, 300 of a section)."""
+    return F.substring(c, 1, most)
+
+
 def strip_tags(c: Column) -> Column:
     """Without <...> tags, trimmed."""
     return F.trim(F.regexp_replace(c, "<[^>]+>", ""))

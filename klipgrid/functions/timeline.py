@@ -65,6 +65,12 @@ def padded_window(start: Column, end: Column, total: Column, pad: float = 0.25)
     return F.greatest(F.lit(0.0), start - pad), F.least(total, end + pad)
 
 
+def aligned_back(word: Column, start: Column) -> Column:
+    """A word's times from its window, which began at ``start``, back on the recording, to the millisecond."""
+    at = lambda t: F.floor((t + start) * 1000 + 0.5) / 1000
+    return F.struct(word.word.alias("word"), word.label.alias("label"), at(word.start).alias("start"), at(word.end).alias("end"), word.score.alias("score"))
+
+
 def section_start(duration: Column, p: Screening = Screening()) -> Column:
     """Start of the section sampled from a video; an unknown or zero length starts at 60."""
     d = F.coalesce(duration, F.lit(0.0))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..params import Listing, Screening
 from ..session import cut
+from .series import even_picks
 
 
 def eligible(duration: Column, live: Column, url: Column, p: Listing = Listing()) -> Column:
@@ -24,6 +25,20 @@ def screenable(duration: Column, live: Column, url: Column, p: Screening = Scree
     return ~is_live & F.coalesce(duration, F.lit(0.0)).between(p.min_duration, p.max_duration) & ~F.coalesce(url, F.lit("")).contains("/shorts/")
 
 
+def screen_picks(listing: DataFrame, planned: DataFrame, ok: Column, by: str, order: list[Column], k: int) -> DataFrame:
+    """Rows of ``listing`` to sample: ``k`` evenly spaced ones of the eligible rows of each ``by``.
+
+    A source that lists one video only keeps it even if it isn't eligible (a flat
+    listing knows no duration).  Picks that are in ``planned`` (id) already are
+    dropped, not replaced, and an id picked for two sources is taken once.
+    """
+    rows = listing.where(F.col("id").isNotNull()).withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    rows = cut(rows)
+    alone = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), F.count_if("_ok").alias("_k")).where("_n = 1 and _k = 0").select(F.col(by).alias("_by"))
+    fit = rows.where("_ok").unionByName(rows.join(alone, F.col(by).eqNullSafe(F.col("_by")), "left_semi")).drop("_ok")
+    return insert_new(even_picks(fit, by, order, k), planned, "id", [F.col(by), *order])
+
+
 def insert_new(new: DataFrame, existing: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``; the first in ``order`` of each key."""
     fresh = new.where(F.col(key).isNotNull()).join(existing.select(key), key, "left_anti")

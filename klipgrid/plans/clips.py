@@ -96,6 +96,13 @@ def clip_landmarks(spark: SparkSession, d: str) -> DataFrame:
     return b.select("vec_id", "point", e3(Y.to_clip(F.col("p.x"), F.col("x0"), F.col("s"), 256)).alias("x_e3"), e3(Y.to_clip(F.col("p.y"), F.col("y0"), F.col("s"), 256)).alias("y_e3"))
 
 
+def head_angles(spark: SparkSession, d: str) -> DataFrame:
+    """Euler angles (hundredths of a degree) of the first nine numbers of an embedding, read as a matrix."""
+    p, y, r = Y.euler_angles(F.slice("embedding", 1, 9))
+    e2 = lambda c: F.floor(c * 100 + 0.5).cast("long")
+    return table(spark, d, "embeddings").select("vec_id", e2(p).alias("pitch_e2"), e2(y).alias("yaw_e2"), e2(r).alias("roll_e2"))
+
+
 def gap_interpolate(spark: SparkSession, d: str) -> DataFrame:
     """Start frames of sentences; null ones filled along the chunks of the video."""
     s = table(spark, d, "sentence_clip").groupBy("video_id", "chunk").agg(F.min("frame_start").cast("double").alias("v"))
@@ -106,7 +113,7 @@ def gap_interpolate(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        frame_grid, word_clip_rows, audio_index, shot_distance, landmark_boxes, iou_pairs, crop_boxes, pad_fraction, clip_landmarks, gap_interpolate,
+        frame_grid, word_clip_rows, audio_index, shot_distance, landmark_boxes, iou_pairs, crop_boxes, pad_fraction, clip_landmarks, head_angles, gap_interpolate,
     )
 }
 
@@ -149,6 +156,12 @@ SQL = {
     "clip_landmarks": f"""
         WITH {_CROP} SELECT vec_id, CAST(i AS INTEGER) AS point, CAST(floor((px[i + 1] - bx0) * (256::DOUBLE / bs) * 1000 + 0.5::DOUBLE) AS BIGINT) AS x_e3, CAST(floor((py[i + 1] - by0) * (256::DOUBLE / bs) * 1000 + 0.5::DOUBLE) AS BIGINT) AS y_e3
         FROM ib, range(32) AS r(i)""",
+    "head_angles": """
+        WITH m AS (SELECT vec_id, list_transform(embedding[1:9], lambda x: x::DOUBLE) AS m FROM embeddings),
+        s AS (SELECT *, sqrt(m[1] * m[1] + m[4] * m[4] + m[7] * m[7]) AS a, sqrt(m[2] * m[2] + m[5] * m[5] + m[8] * m[8]) AS b, sqrt(m[3] * m[3] + m[6] * m[6] + m[9] * m[9]) AS c FROM m)
+        SELECT vec_id, CAST(floor(degrees(atan2(m[8] / b, m[9] / c)) * 100 + 0.5::DOUBLE) AS BIGINT) AS pitch_e2,
+            CAST(floor(degrees(atan2(-m[7] / a, sqrt(m[8] / b * (m[8] / b) + m[9] / c * (m[9] / c)))) * 100 + 0.5::DOUBLE) AS BIGINT) AS yaw_e2,
+            CAST(floor(degrees(atan2(m[4] / a, m[1] / a)) * 100 + 0.5::DOUBLE) AS BIGINT) AS roll_e2 FROM s""",
     "gap_interpolate": """
         WITH s AS (SELECT video_id, chunk, CAST(min(frame_start) AS DOUBLE) AS v FROM sentence_clip GROUP BY video_id, chunk),
         f AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN chunk END IGNORE NULLS) OVER p AS a, last_value(v IGNORE NULLS) OVER p AS va,

@@ -76,7 +76,7 @@ def status_classify(spark: SparkSession, d: str) -> DataFrame:
     marks = [*X.RATE_LIMITED, *X.PERMANENT, "something else"]
     pick = F.element_at(F.array(*[F.lit(m) for m in marks]), (F.pmod("seq", F.lit(len(marks))) + 1).cast("int"))
     text = F.concat(F.coalesce("error", F.lit("")), F.lit(" / "), pick)
-    return said.select("seq", X.status_of(text).alias("status"), X.status_of(F.col("error")).alias("plain_status"), F.substring(text, 1, 500).alias("message"))
+    return said.select("seq", X.status_of(text).alias("status"), X.status_of(F.col("error")).alias("plain_status"), X.clipped(text).alias("message"))
 
 
 def _known(spark: SparkSession, d: str) -> DataFrame:
@@ -158,6 +158,14 @@ def planned_picks(spark: SparkSession, d: str) -> DataFrame:
     return even_picks(m, "channel_id", [F.col("id")], 3)
 
 
+def screen_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Videos to sample of each source, but for those that the log has seen."""
+    m = _listed(spark, d).select("source", "id", "duration", "live_status", "url").distinct()
+    ok = I.screenable(F.col("duration"), F.col("live_status"), F.col("url"))
+    order = [F.col("id"), F.col("duration").asc_nulls_first(), F.col("url").asc_nulls_first()]
+    return I.screen_picks(m, table(spark, d, "download_log").select("id").where("status = 'ok'"), ok, "source", order, 3).select("source", "id")
+
+
 def newest_per_link(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "manifest").where("id is not null").select("source", "id").distinct()
     return I.newest(m, "source", [F.col("id").desc()], 50).select("source", "id", F.col("nth").cast("long").alias("nth"))
@@ -189,7 +197,7 @@ QUERIES = {
     for f in (
         links_parse, manifest_eligible, ingest_counters, screen_eligible, listing_flatten, status_classify, resume_any_ok, work_list, resume_latest, latest_status,
         resume_missing_output, semi_ready, ready_ids, difference_ids, left_metrics_plan, rate_window, backoff_sequence, section_bounds, section_states,
-        planned_picks, newest_per_link, subtitle_pick, vocabulary, record_templates, content_fingerprint,
+        planned_picks, screen_plan, newest_per_link, subtitle_pick, vocabulary, record_templates, content_fingerprint,
     )
 }
 
@@ -258,6 +266,14 @@ SQL = {
         WITH m AS (SELECT DISTINCT channel_id, id FROM manifest WHERE channel_id IS NOT NULL AND id IS NOT NULL),
         r AS (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY id) - 1 AS i, count(*) OVER (PARTITION BY channel_id) AS n FROM m)
         SELECT channel_id, id FROM r WHERE EXISTS (SELECT 1 FROM range(least(3, n)) AS g(j) WHERE round_even(j * ((n - 1) / greatest(1, least(3, n) - 1)), 0) = i)""",
+    "screen_plan": f"""
+        WITH {_LISTED}, m AS (SELECT DISTINCT source, id, duration, live_status, url FROM listed WHERE id IS NOT NULL),
+        o AS (SELECT *, coalesce(live_status, '') NOT IN ('is_live', 'is_upcoming', 'post_live', 'was_live') AND coalesce(duration, 0) BETWEEN 300 AND 10800 AND NOT contains(coalesce(url, ''), '/shorts/') AS ok FROM m),
+        s AS (SELECT *, count(*) OVER (PARTITION BY source) AS c, count(*) FILTER (WHERE ok) OVER (PARTITION BY source) AS k FROM o),
+        r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY id, duration NULLS FIRST, url NULLS FIRST) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM s WHERE ok OR (c = 1 AND k = 0)),
+        p AS (SELECT * FROM r WHERE EXISTS (SELECT 1 FROM range(least(3, n)) AS g(j) WHERE round_even(j * ((n - 1) / greatest(1, least(3, n) - 1)), 0) = i)),
+        q AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY source NULLS FIRST, duration NULLS FIRST, url NULLS FIRST) AS nth FROM p WHERE NOT EXISTS (SELECT 1 FROM download_log l WHERE l.id = p.id AND l.status = 'ok'))
+        SELECT source, id FROM q WHERE nth = 1""",
     "newest_per_link": """
         SELECT * FROM (SELECT source, id, row_number() OVER (PARTITION BY source ORDER BY id DESC) AS nth FROM (SELECT DISTINCT source, id FROM manifest WHERE id IS NOT NULL)) WHERE nth <= 50""",
     "subtitle_pick": """

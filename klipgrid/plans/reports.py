@@ -60,6 +60,35 @@ def section_metrics(spark: SparkSession, d: str) -> DataFrame:
     return cuts.join(meds, "video_id").select("video_id", per.alias("cuts_per_min_e3"), "width_median_x2", "yaw_median_x2")
 
 
+def _sections(spark: SparkSession, d: str) -> DataFrame:
+    """(video_id, the shares and medians of its section, licence, language tag)."""
+    about = table(spark, d, "documents").where("video_id is not null").groupBy("video_id").agg(
+        F.max(F.when(F.col("text").contains("Creative"), "Creative Commons")).alias("said"), F.min("lang").alias("language_tag")
+    )
+    rows = frame_shares(spark, d).join(section_metrics(spark, d), "video_id").join(about, "video_id", "left")
+    return rows.withColumn("licence", X.licence(F.col("said"))).drop("said")
+
+
+def section_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What screening knows of each video."""
+    return _sections(spark, d)
+
+
+_KEYS = ["usable", "valid_face", "one_face", "multi_face", "no_face", "speech", "cuts_per_min_e3", "width_median_x2"]
+
+
+def channel_means(spark: SparkSession, d: str) -> DataFrame:
+    """Means of eight metrics over the sections of each channel, its licences and language tags; '?' where none is known."""
+    plan = table(spark, d, "manifest").where("id is not null").groupBy(F.col("id").alias("video_id")).agg(F.min("channel_id").alias("channel_id"))
+    rows = _sections(spark, d).join(plan, "video_id", "left").withColumn("channel_id", F.coalesce("channel_id", F.lit("?")))
+    mean = lambda c: F.floor(F.sum(c) / F.count(F.lit(1)) + 0.5).cast("long").alias(c)
+    out = rows.groupBy("channel_id").agg(
+        F.count(F.lit(1)).alias("n_videos"), F.count_if(F.col("licence").contains("Creative")).alias("cc_videos"),
+        F.array_join(F.array_sort(F.collect_set(F.coalesce("language_tag", F.lit("None")))), ",").alias("language_tags"), *[mean(c) for c in _KEYS], F.min("video_id").alias("first_video"),
+    )
+    return out.orderBy(F.desc("usable"), "first_video")
+
+
 def channel_report(spark: SparkSession, d: str) -> DataFrame:
     """Documents of each source: counts, mean length, language tags, licences."""
     m = table(spark, d, "documents")
@@ -110,7 +139,7 @@ def id_subset(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (frame_shares, section_metrics, channel_report, channel_members, viewer_words, disjoint_split, source_caps, verify_sample, id_subset)
+    for f in (frame_shares, section_metrics, section_rows, channel_means, channel_report, channel_members, viewer_words, disjoint_split, source_caps, verify_sample, id_subset)
 }
 
 _SHARE = "CASE WHEN n > 0 THEN CAST(floor(({0}) * 1000 / n + 0.5::DOUBLE) AS BIGINT) ELSE 0 END"
@@ -151,3 +180,13 @@ SQL = {
         SELECT label, video_id, chunk, idx, s, nth FROM r WHERE nth <= 2""",
     "id_subset": "SELECT p_partkey, p_name FROM part WHERE p_partkey IN (3, 5, 7, 11, 13) ORDER BY p_partkey LIMIT 3",
 }
+
+_SECTIONS = f"""fsh AS ({SQL["frame_shares"]}), smt AS ({SQL["section_metrics"]}),
+    abt AS (SELECT video_id, max(CASE WHEN contains(text, 'Creative') THEN 'Creative Commons' END) AS said, min(lang) AS language_tag FROM documents WHERE video_id IS NOT NULL GROUP BY video_id),
+    sec AS (SELECT fsh.*, smt.* EXCLUDE (video_id), language_tag, coalesce(said, 'Standard YouTube License') AS licence FROM fsh JOIN smt USING (video_id) LEFT JOIN abt USING (video_id))"""
+SQL["section_rows"] = f"WITH {_SECTIONS} SELECT * FROM sec"
+SQL["channel_means"] = f"""
+        WITH {_SECTIONS}, pl AS (SELECT id AS video_id, min(channel_id) AS channel_id FROM manifest WHERE id IS NOT NULL GROUP BY id)
+        SELECT coalesce(channel_id, '?') AS channel_id, count(*) AS n_videos, count(*) FILTER (WHERE contains(licence, 'Creative')) AS cc_videos,
+            array_to_string(list_sort(list(DISTINCT coalesce(language_tag, 'None'))), ',') AS language_tags, {", ".join(f"CAST(floor(sum({c}) / count(*) + 0.5::DOUBLE) AS BIGINT) AS {c}" for c in _KEYS)}, min(video_id) AS first_video
+        FROM sec LEFT JOIN pl USING (video_id) GROUP BY coalesce(channel_id, '?')"""

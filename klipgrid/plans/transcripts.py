@@ -189,6 +189,11 @@ SQL = {
               UNION ALL SELECT r.video_id, r.k, CASE WHEN r.e - cs <= 20 AND r.s - ce < 1.0 THEN cs ELSE r.s END, r.e, CASE WHEN r.e - cs <= 20 AND r.s - ce < 1.0 THEN c ELSE c + 1 END
               FROM f JOIN r ON r.video_id = f.video_id AND r.k = f.k + 1)
         SELECT video_id, min(cs) AS s, arg_max(ce, k) AS e FROM f GROUP BY video_id, c HAVING arg_max(ce, k) - min(cs) >= 1.0""",
+    "vtt_cues": rf"""
+        WITH {_UNITS}, q AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY unit_no, s, e, text) AS cue, regexp_split_to_array('<c>' || text || '</c>', '\r\n|\n|\r') AS l FROM units WHERE s IS NOT NULL AND e IS NOT NULL AND text IS NOT NULL),
+        k AS (SELECT *, list_position(list_transform(l, lambda x: trim(x, ' ') = ''), true) AS blank FROM q)
+        SELECT video_id AS path, cue, floor(s) AS start, floor(e) + 0.5::DOUBLE AS "end",
+            array_to_string(list_transform(CASE WHEN blank > 0 THEN l[1 : blank - 1] ELSE l END, lambda x: trim(regexp_replace(x, '<[^>]+>', '', 'g'), ' ')), ' ') AS text FROM k""",
     "padded_windows": f"""
         WITH {_UNITS}, q AS (SELECT * FROM units WHERE s IS NOT NULL AND e IS NOT NULL), m AS (SELECT video_id, max(e) AS total FROM q GROUP BY video_id)
         SELECT video_id, unit_no, s, greatest(0.0::DOUBLE, s - 0.25::DOUBLE) AS from_s, least(total, e + 0.25::DOUBLE) AS to_s FROM q JOIN m USING (video_id)""",

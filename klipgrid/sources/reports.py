@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import html_escape
 
-MAX_ROWS = 2_000  # a page for reading; larger results belong in a table
-
 _PAGE = "<!doctype html><meta charset='utf-8'><title>{title}</title><h1>{title}</h1>\n{body}\n"
 
 
@@ -16,10 +14,13 @@ def _text(c: Column) -> Column:
     return html_escape(F.coalesce(c.cast("string"), F.lit("")))
 
 
-def html_table(df: DataFrame, title: str, rows: int = MAX_ROWS) -> str:
-    """The first ``rows`` rows as a page; cells are escaped by Spark."""
+def html_table(df: DataFrame, title: str) -> str:
+    """All rows as a page, fetched partition by partition; cells are escaped by Spark.
+
+    A page is for reading: larger results belong in a table.
+    """
     cells = F.concat(*[F.concat(F.lit("<td>"), _text(F.col(c)), F.lit("</td>")) for c in df.columns])
-    lines = [r[0] for r in df.limit(rows).select(F.concat(F.lit("<tr>"), cells, F.lit("</tr>"))).collect()]
+    lines = [r[0] for r in df.select(F.concat(F.lit("<tr>"), cells, F.lit("</tr>"))).toLocalIterator()]
     head = "".join(f"<th>{c}</th>" for c in df.columns)
     return _PAGE.format(title=title, body="<table><tr>" + head + "</tr>\n" + "\n".join(lines) + "</table>")
 

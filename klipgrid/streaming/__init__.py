@@ -16,7 +16,12 @@ def manifest_stream(spark: SparkSession, folder: str, p: Listing = Listing()) ->
     return rows.where(eligible(F.col("duration"), F.lit(None).cast("string"), F.col("url"), p)).dropDuplicates(["id"])
 
 
-def hourly_outcomes(spark: SparkSession, folder: str, late: str = "1 hour") -> DataFrame:
-    """Outcomes per hour and status; lines later than ``late`` are left out."""
+def hourly_outcomes(spark: SparkSession, folder: str, late: str | None = None) -> DataFrame:
+    """Outcomes per hour and status, of all lines however late: the state is one row per hour and status.
+
+    With ``late`` hours are closed after that delay, and lines that come still later
+    are left out; only then may the result be appended instead of updated.
+    """
     rows = spark.readStream.schema(DOWNLOAD_LOG).json(folder).withColumn("at", F.timestamp_seconds("t"))
-    return rows.withWatermark("at", late).groupBy(F.window("at", "1 hour"), "status").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows if late is None else rows.withWatermark("at", late)
+    return rows.groupBy(F.window("at", "1 hour"), "status").agg(F.count(F.lit(1)).alias("n"))
