@@ -29,6 +29,11 @@ def test_same_as_sql(spark, name):
     compare(spark, Q.QUERIES[name], Q.SQL[name])
 
 
+@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p3_found", "p6_found", "p7_check", "p8_decoded"])
+def test_same_as_sql_under_production_plans(production, name):
+    compare(production, Q.QUERIES[name], Q.SQL[name])
+
+
 # 1: cutoffs
 
 
