@@ -25,6 +25,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="session")
+def production(spark):
+    """A session that plans as in production: adaptive, with generated code."""
+    s = spark.newSession()
+    for k, v in {"spark.sql.adaptive.enabled": "true", "spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}.items():
+        s.conf.set(k, v)
+    return s
+
+
 def plain(v):
     """A value as both engines would print it."""
     if v is None or isinstance(v, (str, bool)):

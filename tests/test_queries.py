@@ -16,6 +16,11 @@ def test_same_as_sql(spark, name):
     compare(spark, QUERIES[name], SQL[name])
 
 
+@pytest.mark.parametrize("name", ["p4_found", "p5_found", "window_metrics", "reject_counts", "planned_picks"])
+def test_same_as_sql_under_production_plans(production, name):
+    compare(production, QUERIES[name], SQL[name])
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, DATA).count() > 0
